@@ -113,3 +113,66 @@ def process_data(anomalies: DataFrame, users: DataFrame, plain: DataFrame, uid_c
     wide = wide.withColumn("Descripcion", null_tokens_to_null("Descripcion"))
     typed = apply_type_map(wide, item_types or {})
     return typed.withColumn("año", F.lit(target_year).cast("long"))
+
+
+# --------------------------------------------------------------------------- C2
+
+# The cleaning defaults of the yearly dataset.
+BOOLEAN_COLUMNS = ["item_237", "item_74", "item_68"]
+CATEGORICAL_DEFAULTS = {
+    "item_601": "NOAPL", "item_33": "NO INDICA", "item_598": "NOAPL", "item_35": "NO INDICA",
+    "item_599": "NOAPL", "item_603": "NOAPL", "item_43": "NO INDICA", "item_108": "NO INDICA",
+    "item_602": "NOAPL", "item_597": "NOAPL", "item_248": "NO INDICA",
+}
+BINARY_COLUMNS = {"item_23": {None: "NO", "TRUE": "SI", "FALSE": "NO"},
+                  "item_24": {None: "NO", "TRUE": "SI", "FALSE": "NO"}}
+CLEAN_KEEP = ["AREA", "item_288", "odt", "orden", "PLAN_COMERCIAL", "Descripcion", "reincidente",
+              "Anomalia_conf", "ZONA", "año", "LATI_USU", "LONG_USU", "NIVEL", "item_68", "item_74", "item_237",
+              "item_248", "item_597", "item_602", "item_108", "item_43", "item_603", "item_599", "item_35",
+              "item_598", "item_33", "item_601", "item_24", "item_23"]
+
+
+def clean(df: DataFrame, order_col: str | None = None, dedupe_keys=("orden", "odt"),
+          coordinate_cols=("LATI_USU",), boolean_cols=BOOLEAN_COLUMNS,
+          categorical_defaults=CATEGORICAL_DEFAULTS, binary_cols=BINARY_COLUMNS,
+          recurrence_key: str = "item_288", columns_to_keep=CLEAN_KEEP,
+          fill_null_description: str | None = "Solo odt") -> DataFrame:
+    """Keep-first on (orden, odt) -> drop NULL coordinates -> booleans
+    (NULL -> false, TRUE/SI/FALSE/NO parsed, other text NULL: D4) -> text
+    defaults (D6: cast to text first) -> SI/NO indicators (D5) -> recurrence
+    flag -> anomaly label (D3: NULL description filled first unless
+    ``fill_null_description`` is None) -> tolerant projection.
+    """
+    from voltlens.functions.casts import parse_bool
+    from voltlens.functions.scalars import anomaly_label, fill_default, replace_values
+    from voltlens.operators.profile import drop_nulls
+
+    keys = [k for k in dedupe_keys if k in df.columns]
+    if order_col is None:
+        df = df.withColumn("_vl_row", F.struct(*[F.col(q(c)) for c in df.columns]))
+        order_col = "_vl_row"
+    df = dedupe.keep_first(df, keys, order_col, keep_order=False)
+    df = drop_nulls(df, [c for c in coordinate_cols if c in df.columns])
+    cols = {}
+    for c in boolean_cols:
+        if c in df.columns:
+            cols[c] = F.coalesce(parse_bool(c), F.lit(False))
+    for c, v in categorical_defaults.items():
+        if c in df.columns:
+            cols[c] = fill_default(c, v)
+    for c, m in binary_cols.items():
+        if c in df.columns:
+            cols[c] = replace_values(F.col(q(c)).cast("string"), m)
+    if cols:
+        df = df.withColumns(cols)
+    if recurrence_key in df.columns:
+        df = dedupe.recurrence_flag(df, recurrence_key)
+    if "Descripcion" in df.columns:
+        d = F.col("Descripcion")
+        if fill_null_description is not None:
+            d = F.coalesce(d, F.lit(fill_null_description))
+        df = df.withColumn("Anomalia_conf", anomaly_label(d))
+    keep = list(columns_to_keep or df.columns)
+    if "año" in df.columns and "año" not in keep:
+        keep.append("año")
+    return select_existing(df, keep)
