@@ -15,8 +15,8 @@ def _c(col) -> Column:
 
 def null_tokens_to_null(col, tokens=NULL_TOKENS) -> Column:
     """F8: the text tokens for 'missing' become a real NULL."""
-    c = _c(col)
-    return F.when(c.isin(*tokens), F.lit(None).cast("string")).otherwise(c.cast("string"))
+    s = _c(col).cast("string")
+    return F.when(s.isin(*tokens), F.lit(None).cast("string")).otherwise(s)
 
 
 def nan_to_null(col) -> Column:
