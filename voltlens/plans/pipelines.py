@@ -176,3 +176,38 @@ def clean(df: DataFrame, order_col: str | None = None, dedupe_keys=("orden", "od
     if "año" in df.columns and "año" not in keep:
         keep.append("año")
     return select_existing(df, keep)
+
+
+# --------------------------------------------------------------------------- clustering (C5, part 1)
+
+CLUSTER_NUM = ["LATI_USU", "LONG_USU"]
+CLUSTER_CAT = ["TRAFO_OPEN", "AREA", "PLAN_COMERCIAL", "SUB_CATEGORIA"]
+
+
+def cluster_fit_rows(df: DataFrame, zone_col: str = "ZONA", num=CLUSTER_NUM, cat=CLUSTER_CAT) -> DataFrame:
+    """Rows a zone model is fitted on: zone present, distinct by features."""
+    return df.where(F.col(q(zone_col)).isNotNull()).select(zone_col, *num, *cat).distinct()
+
+
+def train_zones(df: DataFrame, zone_col: str = "ZONA", num=CLUSTER_NUM, cat=CLUSTER_CAT, K: int = 3,
+                m: float = 2.0, max_iter: int = 150, tol: float = 1e-5, init=None, seed: int = 42):
+    """Preprocessing and fuzzy c-means for every zone in one pass
+    per iteration. Returns (prep, model, fit_features)."""
+    from voltlens.operators import fcm
+    from voltlens.operators.features import fit_zone_prep, transform_zone_prep
+
+    rows = cluster_fit_rows(df, zone_col, num, cat).persist()
+    prep = fit_zone_prep(rows, zone_col, num, cat).persist()
+    feats = transform_zone_prep(rows, prep)
+    d = len(num) + len(cat)
+    model = fcm.fit(feats, zone_col, d, K=K, m=m, max_iter=max_iter, tol=tol,
+                    init=init(feats) if callable(init) else init, seed=seed)
+    return prep, model, feats
+
+
+def predict_zones(df: DataFrame, prep, model) -> DataFrame:
+    """C6 part / K8 / J10: cluster memberships for every row of a modelled zone."""
+    from voltlens.operators import fcm
+    from voltlens.operators.features import transform_zone_prep
+
+    return fcm.predict(transform_zone_prep(df, prep), model)

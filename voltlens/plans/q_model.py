@@ -1 +1,227 @@
-"""Catalog entries."""
+"""Catalog entries: per-zone features and fuzzy c-means.
+
+The oracle runs the same model for a fixed number of centre updates (three),
+started from memberships given by arithmetic on the features, as one CTE
+chain generated from a template.
+"""
+
+from __future__ import annotations
+
+from functools import lru_cache
+
+from pyspark.sql import functions as F
+
+from voltlens.operators import fcm
+from voltlens.operators.features import transform_zone_prep
+from voltlens.plans import analogues as A
+from voltlens.plans import pipelines as P
+from voltlens.plans.analogues import with_views as V
+from voltlens.plans.catalog import register
+
+NUM, CAT = P.CLUSTER_NUM, P.CLUSTER_CAT
+K, M, ITERS, D = 3, 2.0, 3, len(P.CLUSTER_NUM) + len(P.CLUSTER_CAT)
+
+
+def _init_spark(feats):
+    lat = F.floor(F.abs(F.coalesce(F.col("LATI_USU"), F.lit(0.0))) * 100)
+    lon = F.col("LONG_USU").cast("long")
+    return [((lat * (k + 3) + lon * 31 + (k + 1) * 7919) % 1009 + 1).cast("double") for k in range(K)]
+
+
+def _init_sql(k):
+    return (f'((CAST(floor(abs(COALESCE("LATI_USU", 0.0)) * 100) AS BIGINT) * {k + 3} '
+            f'+ CAST("LONG_USU" AS BIGINT) * 31 + {(k + 1) * 7919}) % 1009 + 1)')
+
+
+def _train(spark, sf_dir):
+    users = A.users(spark, sf_dir)
+    prep, model, feats = P.train_zones(users, K=K, m=M, max_iter=ITERS, tol=0.0, init=_init_spark)
+    return users, prep, model, feats
+
+
+# ----------------------------------------------------------------------------- SQL template
+
+def _fcm_sql_ctes() -> list[tuple[str, str]]:
+    z = '"ZONA"'
+    c = []
+    c.append(("fitrows", f'SELECT DISTINCT {z}, "LATI_USU", "LONG_USU", "TRAFO_OPEN", "AREA", "PLAN_COMERCIAL", '
+                         f'"SUB_CATEGORIA" FROM users WHERE {z} IS NOT NULL'))
+    st = [z]
+    for i, col in enumerate(NUM):
+        sd = f'sqrt(var_pop("{col}") * count("{col}") / count(*))'
+        st += [f'avg("{col}") AS m{i}', f'CASE WHEN {sd} IS NULL OR {sd} = 0 THEN 1.0 ELSE {sd} END AS s{i}']
+    c.append(("st", f'SELECT {", ".join(st)} FROM fitrows GROUP BY {z}'))
+    for i, col in enumerate(CAT):
+        c.append((f"mode{i}", f'''SELECT {z}, v FROM (SELECT {z}, "{col}" AS v,
+                   row_number() OVER (PARTITION BY {z} ORDER BY count(*) DESC, "{col}") AS rn
+                   FROM fitrows WHERE "{col}" IS NOT NULL GROUP BY {z}, "{col}") WHERE rn = 1'''))
+    imp = [f"r.{z}"] + [f'r."{col}"' for col in NUM] + \
+          [f'COALESCE(r."{col}", mode{i}.v) AS "{col}"' for i, col in enumerate(CAT)]
+    joins = " ".join(f"LEFT JOIN mode{i} ON r.{z} = mode{i}.{z}" for i in range(len(CAT)))
+    c.append(("fitimp", f'SELECT {", ".join(imp)} FROM fitrows r {joins}'))
+    for i, col in enumerate(CAT):
+        c.append((f"dict{i}", f'''SELECT {z}, v, dense_rank() OVER (PARTITION BY {z} ORDER BY v) - 1 AS code
+                   FROM (SELECT DISTINCT {z}, "{col}" AS v FROM fitimp WHERE "{col}" IS NOT NULL)'''))
+    return c
+
+
+def _transform_sql(src: str) -> str:
+    """Features f0..f5 for the rows of ``src`` (zones without a model dropped)."""
+    z = '"ZONA"'
+    sel = ["r.*"]
+    for i, col in enumerate(NUM):
+        sel.append(f'(COALESCE(r."{col}", st.m{i}) - st.m{i}) / st.s{i} AS f{i}')
+    for i, col in enumerate(CAT):
+        sel.append(f"CAST(COALESCE(dict{i}.code, -1) AS DOUBLE) AS f{len(NUM) + i}")
+    joins = [f"JOIN st ON r.{z} = st.{z}"]
+    for i, col in enumerate(CAT):
+        joins.append(f"LEFT JOIN mode{i} ON r.{z} = mode{i}.{z}")
+        joins.append(f'LEFT JOIN dict{i} ON r.{z} = dict{i}.{z} AND COALESCE(r."{col}", mode{i}.v) = dict{i}.v')
+    return f'SELECT {", ".join(sel)} FROM ({src}) r {" ".join(joins)}'
+
+
+def _membership_sql(cte_c: str, src: str, out: str = "u") -> str:
+    z = '"ZONA"'
+    d2 = [" + ".join(f"(x.f{j} - c.c{k}_{j}) * (x.f{j} - c.c{k}_{j})" for j in range(D)) for k in range(K)]
+    inner = ", ".join(f"{d2[k]} AS d{k}" for k in range(K))
+    zeros = " + ".join(f"CASE WHEN d{k} = 0 THEN 1 ELSE 0 END" for k in range(K))
+    us = []
+    for k in range(K):
+        reg = "1.0 / (" + " + ".join(f"d{k} / d{j}" for j in range(K)) + ")"
+        us.append(f"CASE WHEN ({zeros}) > 0 THEN (CASE WHEN d{k} = 0 THEN 1.0 / ({zeros}) ELSE 0.0 END) "
+                  f"ELSE {reg} END AS {out}{k}")
+    return (f"SELECT *, {', '.join(us)} FROM (SELECT x.*, {inner} FROM ({src}) x "
+            f"JOIN {cte_c} c ON x.{z} = c.{z})")
+
+
+def _centres_sql(src: str) -> str:
+    z = '"ZONA"'
+    parts = []
+    for k in range(K):
+        parts.append(f"sum(u{k} * u{k}) AS w{k}")
+        parts += [f"sum(u{k} * u{k} * f{j}) / sum(u{k} * u{k}) AS c{k}_{j}" for j in range(D)]
+    return f"SELECT {z}, {', '.join(parts)} FROM ({src}) GROUP BY {z}"
+
+
+def _fcm_chain() -> list[tuple[str, str]]:
+    c = _fcm_sql_ctes()
+    c.append(("X", _transform_sql("SELECT * FROM fitrows")))
+    tot = " + ".join(_init_sql(k) for k in range(K))
+    c.append(("U0", "SELECT *, " + ", ".join(f"{_init_sql(k)} / ({tot}) AS u{k}" for k in range(K)) + " FROM X"))
+    c.append(("C1", _centres_sql("SELECT * FROM U0")))
+    for it in range(2, ITERS + 1):
+        c.append((f"U{it - 1}", _membership_sql(f"C{it - 1}", "SELECT * FROM X")))
+        c.append((f"C{it}", _centres_sql(f"SELECT * FROM U{it - 1}")))
+    # stable order: clusters sorted by their coordinates
+    longs = " UNION ALL ".join(
+        f'SELECT "ZONA", {k} AS k, ' + ", ".join(f"c{k}_{j} AS x{j}" for j in range(D)) + f" FROM C{ITERS}"
+        for k in range(K))
+    c.append(("CL", f"SELECT *, row_number() OVER (PARTITION BY \"ZONA\" ORDER BY {', '.join(f'x{j}' for j in range(D))}) - 1 AS cluster FROM ({longs})"))
+    wide = ", ".join(f"max(CASE WHEN cluster = {k} THEN x{j} END) AS c{k}_{j}" for k in range(K) for j in range(D))
+    c.append(("CF", f'SELECT "ZONA", {wide} FROM CL GROUP BY "ZONA"'))
+    return c
+
+
+def _with(ctes, body):
+    return "WITH " + ",\n".join(f"{n} AS ({s})" for n, s in ctes) + "\n" + body
+
+
+def _sql(body, extra=()):
+    return V(_with(_fcm_chain() + list(extra), body), "users")
+
+
+def _argmax_sql():
+    conds = []
+    for k in range(K):
+        cs = [f"u{k} {'>' if o < k else '>='} u{o}" for o in range(K) if o != k]
+        conds.append(f"WHEN {' AND '.join(cs)} THEN {k}")
+    return "CASE " + " ".join(conds) + " END"
+
+
+# ----------------------------------------------------------------------------- queries
+
+_R6 = ", ".join
+
+
+@register("k1_k2_zone_scaler", _sql('SELECT "ZONA", m0 AS "LATI_USU__mean", s0 AS "LATI_USU__scale", '
+                                    'm1 AS "LONG_USU__mean", s1 AS "LONG_USU__scale" FROM st'))
+def k1_k2_zone_scaler(spark, sf_dir):
+    from voltlens.operators.features import fit_zone_prep
+    rows = P.cluster_fit_rows(A.users(spark, sf_dir))
+    return fit_zone_prep(rows, "ZONA", NUM, CAT).num_stats
+
+
+@register("k3_zone_modes", _sql('SELECT mode0."ZONA", mode0.v AS "TRAFO_OPEN", mode1.v AS "AREA", '
+                                'mode2.v AS "PLAN_COMERCIAL", mode3.v AS "SUB_CATEGORIA" FROM mode0 '
+                                'JOIN mode1 ON mode0."ZONA" = mode1."ZONA" JOIN mode2 ON mode0."ZONA" = mode2."ZONA" '
+                                'JOIN mode3 ON mode0."ZONA" = mode3."ZONA"'))
+def k3_zone_modes(spark, sf_dir):
+    from voltlens.operators.features import fit_zone_prep
+    rows = P.cluster_fit_rows(A.users(spark, sf_dir))
+    return fit_zone_prep(rows, "ZONA", NUM, CAT).modes
+
+
+@register("k4_ordinal_dictionary", _sql(" UNION ALL ".join(
+    f"SELECT \"ZONA\", '{col}' AS \"column\", v AS value, CAST(code AS BIGINT) AS code FROM dict{i}"
+    for i, col in enumerate(CAT))))
+def k4_ordinal_dictionary(spark, sf_dir):
+    from voltlens.operators.features import fit_zone_prep
+    rows = P.cluster_fit_rows(A.users(spark, sf_dir))
+    return fit_zone_prep(rows, "ZONA", NUM, CAT).dictionary
+
+
+@register("k7_fcm_centres", _sql('SELECT "ZONA", CAST(cluster AS BIGINT) AS cluster, '
+                                 + ", ".join(f"x{j}" for j in range(D)) + " FROM CL"))
+def k7_fcm_centres(spark, sf_dir):
+    _, _, model, _ = _train(spark, sf_dir)
+    return model.centres_long(spark)
+
+
+_PRED_BODY = ("SELECT \"CLIENTE\", \"ZONA\", CAST(" + _argmax_sql() + " AS BIGINT) AS cluster_id, "
+              + ", ".join(f"u{k} AS cluster_{k}" for k in range(K))
+              + " FROM PR")
+_PRED_CTE = [("PR", _membership_sql("CF", _transform_sql('SELECT * FROM users WHERE "ZONA" IS NOT NULL')))]
+
+
+@register("k8_fcm_predict", _sql(_PRED_BODY, _PRED_CTE))
+def k8_fcm_predict(spark, sf_dir):
+    users, prep, model, _ = _train(spark, sf_dir)
+    pred = P.predict_zones(users.where(F.col("ZONA").isNotNull()), prep, model)
+    return pred.select("CLIENTE", "ZONA", "cluster_id", *[f"cluster_{k}" for k in range(K)])
+
+
+_PC_CTE = [("PF", _membership_sql("CF", "SELECT * FROM X"))]
+_PC_BODY = ('SELECT "ZONA", avg(' + " + ".join(f"u{k} * u{k}" for k in range(K)) + ') AS "PC", avg('
+            + " + ".join(f"CASE WHEN u{k} > 0 THEN -u{k} * ln(u{k}) ELSE 0 END" for k in range(K))
+            + ') AS "PEC" FROM PF GROUP BY "ZONA"')
+
+
+@register("k9_partition_scores", _sql(_PC_BODY, _PC_CTE))
+def k9_partition_scores(spark, sf_dir):
+    _, _, model, feats = _train(spark, sf_dir)
+    return fcm.partition_scores(fcm.predict(feats, model), model)
+
+
+_SIL_CTES = _PRED_CTE + [
+    ("PP", "SELECT \"CLIENTE\", \"ZONA\", " + _argmax_sql() + " AS cl_own, "
+           + ", ".join(f"f{j}" for j in range(D)) + ", " + " + ".join(f"f{j} * f{j}" for j in range(D))
+           + " AS nx FROM PR"),
+    ("CS", 'SELECT "ZONA", cl_own AS cl, count(*) AS n, avg(nx) AS mn, '
+           + ", ".join(f"avg(f{j}) AS m{j}" for j in range(D)) + ' FROM PP GROUP BY "ZONA", cl_own'),
+    ("PJ", 'SELECT p."CLIENTE", p."ZONA", p.cl_own, c.cl, c.n, p.nx - 2 * ('
+           + " + ".join(f"p.f{j} * c.m{j}" for j in range(D)) + ') + c.mn AS md '
+           'FROM PP p JOIN CS c ON p."ZONA" = c."ZONA"'),
+    ("RR", 'SELECT "CLIENTE", "ZONA", max(CASE WHEN cl = cl_own AND n > 1 THEN md * n / (n - 1) END) AS a, '
+           'max(CASE WHEN cl = cl_own THEN n END) AS na, min(CASE WHEN cl <> cl_own THEN md END) AS b '
+           'FROM PJ GROUP BY "CLIENTE", "ZONA"'),
+]
+_SIL_BODY = ('SELECT "ZONA", avg(CASE WHEN na <= 1 THEN 0.0 WHEN b IS NULL THEN NULL '
+             'WHEN greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END) AS silhouette, '
+             'CAST(count(*) AS BIGINT) AS n FROM RR GROUP BY "ZONA"')
+
+
+@register("k10_silhouette_sq", _sql(_SIL_BODY, _SIL_CTES))
+def k10_silhouette_sq(spark, sf_dir):
+    users, prep, model, _ = _train(spark, sf_dir)
+    pred = P.predict_zones(users.where(F.col("ZONA").isNotNull()), prep, model)
+    return fcm.silhouette_sq(pred, "ZONA", D, K)
