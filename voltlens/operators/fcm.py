@@ -32,24 +32,30 @@ def _d2(k: int, d: int, x="f", c="c") -> Column:
     return s
 
 
-def membership_cols(K: int, d: int, m: float, x="f", c="c", out="u") -> dict:
-    """Expressions ``u0..u{K-1}`` from features ``x*`` and centre columns ``c{k}_{j}``."""
-    d2 = [_d2(k, d, x, c) for k in range(K)]
+def add_memberships(df: DataFrame, K: int, d: int, m: float, x="f", c="c", out="u") -> DataFrame:
+    """Add ``u0..u{K-1}`` from features ``x*`` and centre columns ``c{k}_{j}``.
+
+    Squared distances are projected first and referenced by name, so the
+    membership expressions stay small enough for whole-stage codegen (one
+    inlined tree would repeat every distance K^2 times).
+    """
+    df = df.withColumns({f"_d{k}": _d2(k, d, x, c) for k in range(K)})
     zeros = None
     for k in range(K):
-        z = F.when(d2[k] == 0, 1).otherwise(0)
+        z = F.when(F.col(f"_d{k}") == 0, 1).otherwise(0)
         zeros = z if zeros is None else zeros + z
+    df = df.withColumn("_nz", zeros)
     p = 1.0 / (m - 1.0)
     cols = {}
     for k in range(K):
         s = None
         for j in range(K):
-            t = F.pow(d2[k] / d2[j], F.lit(p)) if p != 1.0 else d2[k] / d2[j]
+            r = F.col(f"_d{k}") / F.col(f"_d{j}")
+            t = r if p == 1.0 else F.pow(r, F.lit(p))
             s = t if s is None else s + t
-        regular = F.lit(1.0) / s
-        cols[f"{out}{k}"] = F.when(zeros > 0, F.when(d2[k] == 0, F.lit(1.0) / zeros).otherwise(F.lit(0.0))) \
-                             .otherwise(regular)
-    return cols
+        cols[f"{out}{k}"] = F.when(F.col("_nz") > 0, F.when(F.col(f"_d{k}") == 0, F.lit(1.0) / F.col("_nz"))
+                                   .otherwise(F.lit(0.0))).otherwise(F.lit(1.0) / s)
+    return df.withColumns(cols).drop(*[f"_d{k}" for k in range(K)], "_nz")
 
 
 def centre_aggs(K: int, d: int, m: float, x="f", u="u") -> list:
@@ -95,9 +101,15 @@ class FcmModel:
         return spark.createDataFrame(rows, T.StructType(fields))
 
 
-def _attach(feats: DataFrame, cdf: DataFrame, zone_col: str) -> DataFrame:
-    # the centres table is bounded by zones x K x d and its size is known here
-    return feats.join(F.broadcast(cdf), on=zone_col, how="inner")
+def _attach_model(feats: DataFrame, model: "FcmModel", prefix: str = "c") -> DataFrame:
+    """Add centre columns ``c{k}_{j}`` for each row's zone; rows of zones
+    without a model are dropped (inner semantics, J10).
+
+    The centres are a broadcast table (zones x K x d numbers, size known on
+    the driver). Passing them as data rather than literals keeps the generated
+    code identical between iterations, so it is compiled once.
+    """
+    return feats.join(F.broadcast(model.centres_df(feats.sparkSession, prefix)), on=model.zone_col, how="inner")
 
 
 def fit(feats: DataFrame, zone_col: str, d: int, K: int = 3, m: float = 2.0, max_iter: int = 150,
@@ -106,7 +118,6 @@ def fit(feats: DataFrame, zone_col: str, d: int, K: int = 3, m: float = 2.0, max
     distinct per zone (D11). ``init`` gives K positive weight expressions
     (default: seeded hash of the features). Stops when the largest centre move
     is below ``tol`` or after ``max_iter`` centre updates."""
-    spark = feats.sparkSession
     fcols = [f"{x}{j}" for j in range(d)]
     base = feats.select(zone_col, *fcols).persist()
     w = init or default_init(K, seed, fcols)
@@ -118,8 +129,7 @@ def fit(feats: DataFrame, zone_col: str, d: int, K: int = 3, m: float = 2.0, max
     it = 1
     while it < max_iter:
         model = FcmModel(zone_col, K, d, m, centres, it)
-        j = _attach(base, model.centres_df(spark), zone_col)
-        j = j.withColumns(membership_cols(K, d, m, x))
+        j = add_memberships(_attach_model(base, model), K, d, m, x)
         new = _collect_centres(j.groupBy(zone_col).agg(*centre_aggs(K, d, m, x)), zone_col, K, d)
         it += 1
         shift = max((abs(a - b) for z in new for ca, cb in zip(new[z], centres.get(z, new[z]))
@@ -147,9 +157,7 @@ def _collect_centres(agg: DataFrame, zone_col: str, K: int, d: int) -> dict:
 def predict(feats: DataFrame, model: FcmModel, x: str = "f", keep_centres: bool = False) -> DataFrame:
     """Memberships ``cluster_0..K-1`` and the hard label ``cluster_id``
     (first maximum); rows of zones without a model are dropped."""
-    spark = feats.sparkSession
-    j = _attach(feats, model.centres_df(spark), model.zone_col)
-    j = j.withColumns(membership_cols(model.K, model.d, model.m, x, out="cluster_"))
+    j = add_memberships(_attach_model(feats, model), model.K, model.d, model.m, x, out="cluster_")
     best = None
     for k in range(model.K - 1, -1, -1):
         cond = None

@@ -60,16 +60,21 @@ def fit_zone_prep(df: DataFrame, zone_col: str | None, num_cols, cat_cols) -> Zo
         cols += [F.col(f"{c}__mean"), F.when(sd.isNull() | (sd == 0), F.lit(1.0)).otherwise(sd).alias(f"{c}__scale")]
     num_stats = st.select(*cols)
 
-    modes = None
-    for c in cat_cols:
-        m = mode_of(src, c, by=g)
-        modes = m if modes is None else modes.join(m, on=g, how="full")
-    dicts = None
-    imputed = impute_modes(src, modes, g, cat_cols)
-    for c in cat_cols:
-        d = dense_codes(imputed, c, by=g, name="code").select(
-            *g, F.lit(c).alias("column"), F.col(q(c)).cast("string").alias("value"), "code")
-        dicts = d if dicts is None else dicts.unionByName(d)
+    # categorical columns as one long table: (zone, column, value) counts serve
+    # both the modes and the dictionaries in a single shuffle
+    stack = ", ".join(f"'{c}', CAST({q(c)} AS STRING)" for c in cat_cols)
+    long = src.select(*g, F.expr(f"stack({len(cat_cols)}, {stack}) AS (column, value)"))
+    counts = (long.where(F.col("value").isNotNull())
+                  .groupBy(*g, "column", "value").agg(F.count(F.lit(1)).alias("_c"))).persist()
+    modes_long = counts.groupBy(*g, "column").agg(
+        F.min_by("value", F.struct(-F.col("_c"), F.col("value"))).alias("mode"))
+    wide = modes_long.groupBy(*g).pivot("column", list(cat_cols)).agg(F.first("mode"))
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    modes = wide.select(*g, *[F.col(q(c)).cast(types[c]).alias(c) for c in cat_cols])
+    # imputing with the mode adds no new value, so the dictionary is the sorted
+    # distinct non-null values per (zone, column)
+    dicts = dense_codes(counts.select(*g, "column", "value"), "value", by=[*g, "column"], name="code")
+    dicts = dicts.select(*g, "column", "value", "code")
     return ZonePrep(zone_col or "_vl_g", list(num_cols), list(cat_cols), num_stats, modes, dicts)
 
 
