@@ -19,3 +19,177 @@ def reconcile(a: DataFrame, b: DataFrame) -> DataFrame:
         u = u.unionByName(p)
     return u.agg(*[F.max(F.when(F.col("k") == k, F.col("n"))).cast("long").alias(k)
                    for k in ("rows_a", "rows_b", "only_a", "only_b")])
+
+
+def _by(by):
+    if by is None:
+        return []
+    return [by] if isinstance(by, str) else list(by)
+
+
+def average_rank(df: DataFrame, col: str, by=None, name: str | None = None) -> DataFrame:
+    """1-based rank with ties averaged (scipy ``rankdata``), per group.
+
+    Ranks come from counts per distinct value and a ranged running sum, then
+    join back on the value (a hot value is one key; adaptive execution splits
+    the skewed join partition)."""
+    from voltlens.operators.prefix import running_sum
+
+    by = _by(by)
+    name = name or f"{col}_rank"
+    c = df.groupBy(*by, F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    c = c.where(F.col("_v").isNotNull())
+    r = running_sum(c, ["_v"], ["_c"], by=by)
+    r = r.select(*by, "_v", (F.col("_c_cum") - (F.col("_c") - 1) / 2.0).alias(name))
+    cond = [df[col] == r["_v"]] + [df[b].eqNullSafe(r[b]) for b in by]
+    out = df.join(r, on=cond, how="left").drop("_v")
+    for b in by:
+        out = out.drop(r[b])
+    return out
+
+
+def spearman(df: DataFrame, x: str, y: str, by=None, min_n: int = 0) -> DataFrame:
+    """Spearman rho = Pearson correlation of average ranks, per group;
+    groups with ``n <= min_n`` are left out."""
+    by = _by(by)
+    d = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*by, x, y)
+    d = average_rank(average_rank(d, x, by, "_rx"), y, by, "_ry")
+    a = d.groupBy(*by).agg(F.corr("_rx", "_ry").alias("rho"), F.count(F.lit(1)).alias("n"))
+    return a.where(F.col("n") > min_n) if min_n else a
+
+
+def correlation_pvalue(r: float, n: int) -> float:
+    """Two-sided p-value of a correlation from (r, n): Student t with n-2
+    degrees of freedom (computed on the driver from two numbers)."""
+    import math
+
+    if n is None or n < 3 or r is None:
+        return float("nan")
+    if abs(r) >= 1.0:
+        return 0.0
+    df_ = n - 2
+    t = abs(r) * math.sqrt(df_ / (1.0 - r * r))
+    x = df_ / (df_ + t * t)
+    return _betainc(df_ / 2.0, 0.5, x)
+
+
+def _betainc(a: float, b: float, x: float) -> float:
+    """Regularised incomplete beta I_x(a, b) (continued fraction, Numerical Recipes)."""
+    import math
+
+    if x <= 0:
+        return 0.0
+    if x >= 1:
+        return 1.0
+    lbeta = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
+    front = math.exp(lbeta + a * math.log(x) + b * math.log(1 - x))
+    if x > (a + 1) / (a + b + 2):
+        return 1.0 - _betainc(b, a, 1 - x)
+    f, c, d = 1.0, 1.0, 0.0
+    for i in range(400):
+        m = i // 2
+        if i == 0:
+            num = 1.0
+        elif i % 2 == 0:
+            num = (m * (b - m) * x) / ((a + 2 * m - 1) * (a + 2 * m))
+        else:
+            num = -((a + m) * (a + b + m) * x) / ((a + 2 * m) * (a + 2 * m + 1))
+        d = 1.0 + num * d
+        d = 1.0 / (d if abs(d) > 1e-300 else 1e-300)
+        c = 1.0 + num / (c if abs(c) > 1e-300 else 1e-300)
+        f *= c * d
+        if abs(1.0 - c * d) < 1e-14:
+            break
+    return front * (f - 1.0) / a
+
+
+def kendall_tau_b(df: DataFrame, level: str, value: str, levels, by=None) -> DataFrame:
+    """Kendall tau-b between a variable with few levels and any numeric
+    value, without pairing rows: counts per (value, level) with running sums
+    over the value give concordant minus discordant pairs exactly."""
+    from voltlens.operators.prefix import running_sum
+
+    by = _by(by)
+    levels = list(levels)
+    L = len(levels)
+    d = df.where(F.col(level).isNotNull() & F.col(value).isNotNull())
+    w = (d.groupBy(*by, F.col(value).cast("double").alias("_y"))
+           .pivot(level, levels).agg(F.count(F.lit(1))).na.fill(0))
+    cn = [f"_n{i}" for i in range(L)]
+    w = w.select(*by, "_y", *[F.col(f"`{lv}`").cast("long").alias(cn[i]) for i, lv in enumerate(levels)])
+    r = running_sum(w, ["_y"], cn, by=by)
+    g = by or ["_vl_g"]
+    if not by:
+        r = r.withColumn("_vl_g", F.lit(0))
+    tot = r.groupBy(*g).agg(*[F.sum(c).alias(f"_tot{i}") for i, c in enumerate(cn)])
+    r = r.join(tot, on=g, how="inner")
+    s = None
+    for b_ in range(1, L):
+        inner = None
+        for a_ in range(b_):
+            below = F.col(f"{cn[a_]}_cum") - F.col(cn[a_])
+            above = F.col(f"_tot{a_}") - F.col(f"{cn[a_]}_cum")
+            t = below - above
+            inner = t if inner is None else inner + t
+        term = F.col(cn[b_]) * inner
+        s = term if s is None else s + term
+    ty = None
+    tj = None
+    for c in cn:
+        ty = F.col(c) if ty is None else ty + F.col(c)
+        t = F.col(c) * (F.col(c) - 1) / 2
+        tj = t if tj is None else tj + t
+    a = r.groupBy(*g).agg(F.sum(s).alias("_s"), F.sum(ty * (ty - 1) / 2).alias("_n2"),
+                          F.first(F.array(*[F.col(f"_tot{i}") for i in range(L)])).alias("_Ns"))
+    nsum = F.aggregate("_Ns", F.lit(0).cast("long"), lambda acc, v: acc + v)
+    n1 = F.aggregate("_Ns", F.lit(0.0), lambda acc, v: acc + v * (v - 1) / 2)
+    n0 = nsum * (nsum - 1) / 2
+    tau = F.try_divide(F.col("_s"), F.sqrt((n0 - n1) * (n0 - F.col("_n2"))))
+    return a.select(*by, tau.alias("tau_b"), nsum.alias("n"))
+
+
+def box_stats(df: DataFrame, value: str, by=None) -> DataFrame:
+    """Quartiles and 1.5 IQR whiskers (the most extreme values inside the
+    fences) per group."""
+    from voltlens.operators.profile import exact_quantiles
+
+    by = _by(by)
+    qs = exact_quantiles(df, value, [0.25, 0.5, 0.75], by=by, names=["q1", "median", "q3"])
+    g = by or ["_vl_g"]
+    src = df if by else df.withColumn("_vl_g", F.lit(0))
+    if not by:
+        qs = qs.withColumn("_vl_g", F.lit(0))
+    j = src.join(qs, on=g, how="inner")
+    iqr = F.col("q3") - F.col("q1")
+    v = F.col(value)
+    a = j.groupBy(*g).agg(F.first("n").alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"),
+                          F.first("q3").alias("q3"),
+                          F.min(F.when(v >= F.col("q1") - 1.5 * iqr, v)).alias("whisker_low"),
+                          F.max(F.when(v <= F.col("q3") + 1.5 * iqr, v)).alias("whisker_high"),
+                          F.sum(F.when((v < F.col("q1") - 1.5 * iqr) | (v > F.col("q3") + 1.5 * iqr), 1)
+                                .otherwise(0)).alias("outliers"))
+    return a.drop("_vl_g") if not by else a
+
+
+def group_sum(df: DataFrame, by, value: str, name: str = "total") -> DataFrame:
+    """Sum per group."""
+    return df.groupBy(*_by(by)).agg(F.sum(value).alias(name))
+
+
+def pivot_count(df: DataFrame, row: str, col: str, values) -> DataFrame:
+    """Counts of ``row`` x ``col`` with a fixed column list, missing = 0."""
+    p = df.groupBy(row).pivot(col, list(values)).agg(F.count(F.lit(1))).na.fill(0)
+    return p.select(row, *[F.col(f"`{v}`").cast("long").alias(f"{col}_{v}") for v in values])
+
+
+def composition(df: DataFrame, zone: str, cluster: str, score: str, value: str, levels) -> DataFrame:
+    """Per (zone, cluster) score mix (counts per level) and value total."""
+    levels = list(levels)
+    p = (df.groupBy(zone, cluster).pivot(score, levels)
+           .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("v")).na.fill(0, [f"{lv}_n" for lv in levels]))
+    cols = [zone, cluster] + [F.col(f"`{lv}_n`").cast("long").alias(f"n_{lv}") for lv in levels]
+    tot = None
+    for lv in levels:
+        t = F.coalesce(F.col(f"`{lv}_v`"), F.lit(0.0))
+        tot = t if tot is None else tot + t
+    return p.select(*cols, tot.alias(f"{value}_total"))
