@@ -45,7 +45,7 @@ def range_buckets(df: DataFrame, order: Column, n_rows: int, bucket_rows: int) -
 
 
 def running_sum(df: DataFrame, order_cols, sum_cols, by=None, descending: bool = False,
-                bucket_rows: int = 2_000_000, n_rows: int | None = None,
+                bucket_rows: int = 250_000, n_rows: int | None = None,
                 suffix: str = "_cum") -> DataFrame:
     """Inclusive running sums of ``sum_cols`` along ``order_cols`` inside ``by``.
 
@@ -75,7 +75,7 @@ def running_sum(df: DataFrame, order_cols, sum_cols, by=None, descending: bool =
 
 
 def row_rank(df: DataFrame, order_cols, by=None, descending: bool = False,
-             name: str = "rank", bucket_rows: int = 2_000_000, n_rows: int | None = None) -> DataFrame:
+             name: str = "rank", bucket_rows: int = 250_000, n_rows: int | None = None) -> DataFrame:
     """1-based position along ``order_cols`` inside ``by`` (a scalable row_number)."""
     one = "_vl_one"
     out = running_sum(df.withColumn(one, F.lit(1).cast("long")), order_cols, [one], by=by,
@@ -84,7 +84,7 @@ def row_rank(df: DataFrame, order_cols, by=None, descending: bool = False,
 
 
 def dense_codes(df: DataFrame, value_col: str, by=None, name: str = "code",
-                bucket_rows: int = 2_000_000) -> DataFrame:
+                bucket_rows: int = 250_000) -> DataFrame:
     """Dictionary of distinct non-null values -> 0..n-1 in sorted order, per ``by``.
 
     Returns ``(by..., value_col, name)``. Text values are ordered by a numeric

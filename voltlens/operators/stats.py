@@ -113,10 +113,11 @@ def kendall_tau_b(df: DataFrame, level: str, value: str, levels, by=None) -> Dat
     levels = list(levels)
     L = len(levels)
     d = df.where(F.col(level).isNotNull() & F.col(value).isNotNull())
-    w = (d.groupBy(*by, F.col(value).cast("double").alias("_y"))
-           .pivot(level, levels).agg(F.count(F.lit(1))).na.fill(0))
     cn = [f"_n{i}" for i in range(L)]
-    w = w.select(*by, "_y", *[F.col(f"`{lv}`").cast("long").alias(cn[i]) for i, lv in enumerate(levels)])
+    # one row per distinct value with a count per level (conditional sums: a
+    # single aggregation, where pivot would add a second shuffle)
+    w = d.groupBy(*by, F.col(value).cast("double").alias("_y")).agg(
+        *[F.sum((F.col(level) == F.lit(lv)).cast("long")).alias(cn[i]) for i, lv in enumerate(levels)])
     r = running_sum(w, ["_y"], cn, by=by)
     g = by or ["_vl_g"]
     if not by:

@@ -225,3 +225,106 @@ def k10_silhouette_sq(spark, sf_dir):
     users, prep, model, _ = _train(spark, sf_dir)
     pred = P.predict_zones(users.where(F.col("ZONA").isNotNull()), prep, model)
     return fcm.silhouette_sq(pred, "ZONA", D, K)
+
+
+# ----------------------------------------------------------------------------- supervised (M*)
+
+from voltlens.operators import classify as CL  # noqa: E402
+
+_SPLIT_KEY_SQL = "(o_orderkey * 2654435761) % 1000003"
+
+
+def _split_key():
+    return (F.col("o_orderkey") * F.lit(2654435761)) % F.lit(1000003)
+
+
+@register("m1_stratified_split", f"""
+SELECT o_orderkey, o_orderstatus, o_orderpriority,
+       row_number() OVER (PARTITION BY o_orderstatus, o_orderpriority ORDER BY {_SPLIT_KEY_SQL}, o_orderkey)
+         <= round(count(*) OVER (PARTITION BY o_orderstatus, o_orderpriority) * 0.2) AS is_test
+FROM orders""")
+def m1_stratified_split(spark, sf_dir):
+    o = A.read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    return CL.stratified_split(o, ["o_orderstatus", "o_orderpriority"], _split_key(), ["o_orderkey"], 0.2)
+
+
+@register("m8_stratified_folds", f"""
+SELECT o_orderkey, o_orderpriority,
+       CAST((row_number() OVER (PARTITION BY o_orderpriority ORDER BY {_SPLIT_KEY_SQL}, o_orderkey) - 1) % 5 AS INTEGER)
+         AS fold
+FROM orders""")
+def m8_stratified_folds(spark, sf_dir):
+    o = A.read(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    return CL.stratified_folds(o, "o_orderpriority", _split_key(), ["o_orderkey"], k=5)
+
+
+@register("m4_class_weights", """
+SELECT o_orderkey, o_orderpriority,
+       (SELECT count(*) FROM orders) * 1.0 / ((SELECT count(DISTINCT o_orderpriority) FROM orders)
+         * count(*) OVER (PARTITION BY o_orderpriority)) AS weight
+FROM orders""")
+def m4_class_weights(spark, sf_dir):
+    o = A.read(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    return CL.class_weights(o, "o_orderpriority")
+
+
+@register("m2_target_encoding", V("""
+SELECT DISTINCT puntaje, CAST(dense_rank() OVER (ORDER BY puntaje) - 1 AS BIGINT) AS code
+FROM severity WHERE puntaje IS NOT NULL""", "severity"))
+def m2_target_encoding(spark, sf_dir):
+    from voltlens.operators.features import label_codes
+    return label_codes(A.severity(spark, sf_dir), "puntaje")
+
+
+# boosted severity model on the training set (rows-only checks: no SQL twin)
+SEV_NUM = ["LATI_USU", "LONG_USU", "LATI_TRAFO", "LONG_TRAFO", "FASES", "KVA"]
+SEV_CAT = ["TRAFO_OPEN", "AREA", "PLAN_COMERCIAL", "ZONA", "CATEGORIA", "SUB_CATEGORIA"]
+SEV_PARAMS = dict(max_iter=10, max_depth=4, step_size=0.2, max_bins=32)
+
+
+def _sev_training(spark, sf_dir):
+    from voltlens.plans.q_core import c3_merge_and_clean
+    d = c3_merge_and_clean(spark, sf_dir).where(F.col("puntaje").isNotNull())
+    d = d.withColumn("estrato", F.concat_ws("_", F.col("puntaje").cast("string"), F.col("ZONA")))
+    key = (F.col("Orden") * F.lit(2654435761) + F.col("puntaje") * F.lit(40503)) % F.lit(1000003)
+    return CL.stratified_split(d, ["estrato"], key, ["Orden", "Codigo"], 0.2)
+
+
+def _sev_model(spark, sf_dir):
+    d = _sev_training(spark, sf_dir).persist()
+    train = CL.class_weights(d.where(~F.col("is_test")), "puntaje")
+    model = CL.fit_ovr_gbt(train, "puntaje", SEV_NUM, SEV_CAT, weight_col="weight", **SEV_PARAMS)
+    return d, model
+
+
+@register("m3_gbt_ovr_metrics")
+def m3_gbt_ovr_metrics(spark, sf_dir):
+    from voltlens.operators.metrics import summary, weighted_ovr_auc
+    d, model = _sev_model(spark, sf_dir)
+    pred = model.predict(d.where(F.col("is_test")))
+    probs = {c: f"puntaje_{c}" for c in model.classes}
+    s = summary(pred, "puntaje", "puntaje_pred").withColumn("_g", F.lit(0))
+    a = weighted_ovr_auc(pred, "puntaje", probs).withColumn("_g", F.lit(0))
+    return s.join(a, "_g").drop("_g")
+
+
+@register("m5_feature_importance")
+def m5_feature_importance(spark, sf_dir):
+    _, model = _sev_model(spark, sf_dir)
+    return model.importances(spark)
+
+
+@register("m6_predict_propensities")
+def m6_predict_propensities(spark, sf_dir):
+    d, model = _sev_model(spark, sf_dir)
+    pred = model.predict(d.where(F.col("is_test")))
+    return pred.select("Orden", "Codigo", "puntaje", "puntaje_pred", *[f"puntaje_{c}" for c in model.classes])
+
+
+@register("m10_random_search")
+def m10_random_search(spark, sf_dir):
+    d = _sev_training(spark, sf_dir).where(~F.col("is_test"))
+    key = (F.col("Orden") * F.lit(2654435761) + F.col("puntaje") * F.lit(40503)) % F.lit(1000003)
+    d = CL.stratified_folds(d, "puntaje", key, ["Orden", "Codigo"], k=3)
+    return CL.random_search(d, "puntaje", "fold", SEV_NUM, SEV_CAT, n_trials=2, seed=42,
+                            fixed=dict(max_iter=5, max_depth=3, max_bins=32))
