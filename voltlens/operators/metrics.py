@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltlens.functions.schema import q
-from voltlens.operators.prefix import running_sum
+from voltlens.operators.prefix import running_sum, with_group_values
 
 
 def _by(by):
@@ -36,11 +36,8 @@ def curve(df: DataFrame, label: str, score: str, by=None) -> DataFrame:
     by = _by(by)
     c = score_counts(df, label, score, by)
     r = running_sum(c, ["score"], ["pos", "neg"], by=by, descending=True)
-    g = by or ["_vl_g"]
-    if not by:
-        r = r.withColumn("_vl_g", F.lit(0))
-    tot = r.groupBy(*g).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    r = r.join(tot, on=g, how="inner")
+    tot = r.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    r = with_group_values(r, tot, by)
     tp, fp = F.col("pos_cum"), F.col("neg_cum")
     return r.select(*by, F.col("score").alias("threshold"), tp.alias("tp"), fp.alias("fp"),
                     F.try_divide(tp, F.col("P")).alias("tpr"), F.try_divide(fp, F.col("N")).alias("fpr"),
@@ -53,9 +50,7 @@ def auc(df: DataFrame, label: str, score: str, by=None) -> DataFrame:
     by = _by(by)
     c = score_counts(df, label, score, by)
     r = running_sum(c, ["score"], ["neg"], by=by)  # ascending, inclusive
-    g = by or ["_vl_g"]
-    if not by:
-        r = r.withColumn("_vl_g", F.lit(0))
+    g = by
     below = F.col("neg_cum") - F.col("neg")
     a = r.groupBy(*g).agg(F.sum(F.col("pos") * (below + F.col("neg") * 0.5)).alias("_s"),
                           F.sum("pos").alias("P"), F.sum("neg").alias("N"))
@@ -142,11 +137,7 @@ def calibration(df: DataFrame, label: str, prob: str, n_bins: int = 10, by=None)
     probs = [i / n_bins for i in range(1, n_bins)]
     names = [f"_e{i}" for i in range(1, n_bins)]
     edges = exact_quantiles(df, prob, probs, by=by, names=names).drop("n")
-    g = by or ["_vl_g"]
-    src = df if by else df.withColumn("_vl_g", F.lit(0))
-    if not by:
-        edges = edges.withColumn("_vl_g", F.lit(0))
-    j = src.join(edges, on=g, how="inner")
+    j = with_group_values(df, edges, by)
     b = None
     for nm in names:
         t = F.when(F.col(nm) < F.col(q(prob)), 1).otherwise(0)

@@ -44,6 +44,21 @@ def range_buckets(df: DataFrame, order: Column, n_rows: int, bucket_rows: int) -
                       handleInvalid="keep").transform(df)
 
 
+def with_group_values(df: DataFrame, small: DataFrame, by) -> DataFrame:
+    """Attach per-group values (totals, cut points) to every row.
+
+    With group keys this is an equi-join; for a global value (no keys) the
+    single aggregate row is read on the driver and added as literals, so no
+    join without keys (and no nested-loop join) is planned."""
+    by = _as_list(by)
+    if by:
+        return df.join(small, on=by, how="inner")
+    row = small.first()
+    vals = {c: F.lit(None if row is None else row[c]).cast(small.schema[c].dataType)
+            for c in small.columns}
+    return df.withColumns(vals)
+
+
 def running_sum(df: DataFrame, order_cols, sum_cols, by=None, descending: bool = False,
                 bucket_rows: int = 250_000, n_rows: int | None = None,
                 suffix: str = "_cum") -> DataFrame:
@@ -58,6 +73,11 @@ def running_sum(df: DataFrame, order_cols, sum_cols, by=None, descending: bool =
     lead = F.col(order_cols[0])
     if n_rows is None:
         n_rows = df.count()
+    sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
+    if n_rows <= bucket_rows:
+        # one range: a window per group is already bounded by ``bucket_rows``
+        w = Window.partitionBy(*by).orderBy(*sort).rowsBetween(Window.unboundedPreceding, 0)
+        return df.select("*", *[F.sum(c).over(w).alias(f"{c}{suffix}") for c in sum_cols])
     b = range_buckets(df, -lead if descending else lead, n_rows, bucket_rows)
 
     # per-range totals -> exclusive offsets per (group, range); small table
@@ -67,7 +87,6 @@ def running_sum(df: DataFrame, order_cols, sum_cols, by=None, descending: bool =
                                      for c in sum_cols])
     b = b.join(off, on=[*by, _BUCKET], how="left")
 
-    sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
     w = Window.partitionBy(*by, _BUCKET).orderBy(*sort).rowsBetween(Window.unboundedPreceding, 0)
     out = b.select("*", *[(F.sum(c).over(w) + F.col(f"_off_{c}")).alias(f"{c}{suffix}")
                           for c in sum_cols])

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltlens.functions.schema import q
-from voltlens.operators.prefix import running_sum
+from voltlens.operators.prefix import running_sum, with_group_values
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -42,12 +42,9 @@ def value_counts(df: DataFrame, col: str, by=None, dropna: bool = True) -> DataF
     """A5: (by..., value, count, pct) with pct = count / group total * 100."""
     by = _by(by)
     src = df.where(F.col(q(col)).isNotNull()) if dropna else df
-    g = by or ["_vl_g"]
-    if not by:
-        src = src.withColumn("_vl_g", F.lit(0))
-    c = src.groupBy(*g, F.col(q(col)).alias("value")).agg(F.count(F.lit(1)).alias("count"))
-    tot = c.groupBy(*g).agg(F.sum("count").alias("_tot"))
-    c = c.join(tot, on=g, how="inner")
+    c = src.groupBy(*by, F.col(q(col)).alias("value")).agg(F.count(F.lit(1)).alias("count"))
+    tot = c.groupBy(*by).agg(F.sum("count").alias("_tot"))
+    c = with_group_values(c, tot, by)
     return c.select(*by, "value", "count", F.round(F.col("count") * 100.0 / F.col("_tot"), 2).alias("pct"))
 
 
@@ -69,11 +66,8 @@ def value_ranks(df: DataFrame, col: str, by=None) -> DataFrame:
     c = (df.where(F.col(q(col)).isNotNull() & ~F.isnan(F.col(q(col)).cast("double")))
            .groupBy(*by, F.col(q(col)).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("cnt")))
     c = running_sum(c, ["v"], ["cnt"], by=by)
-    g = by or ["_vl_g"]
-    if not by:
-        c = c.withColumn("_vl_g", F.lit(0))
-    n = c.groupBy(*g).agg(F.sum("cnt").alias("n"))
-    return c.join(n, on=g, how="inner")
+    n = c.groupBy(*by).agg(F.sum("cnt").alias("n"))
+    return with_group_values(c, n, by)
 
 
 def exact_quantiles(df: DataFrame, col: str, probs, by=None, names=None) -> DataFrame:
@@ -85,7 +79,7 @@ def exact_quantiles(df: DataFrame, col: str, probs, by=None, names=None) -> Data
     by = _by(by)
     names = names or [f"q_{str(p).replace('.', '_')}" for p in probs]
     r = value_ranks(df, col, by)
-    g = by or ["_vl_g"]
+    g = by
     aggs = [F.first("n").alias("n")]
     for i, p in enumerate(probs):
         pos = F.lit(float(p)) * (F.col("n") - 1)
@@ -113,11 +107,7 @@ def percentile_filter(df: DataFrame, col: str, p: float = 0.95, by=None, keep_be
     """Keep rows with ``col <= quantile(p)`` (per group when ``by``)."""
     by = _by(by)
     qt = exact_quantiles(df, col, [p], by, names=["_vl_cut"]).drop("n")
-    if by:
-        j = df.join(qt, on=by, how="inner")
-    else:
-        # one-row cut joined on a constant key (a broadcast hash join, no cross product)
-        j = df.withColumn("_vl_g", F.lit(0)).join(qt.withColumn("_vl_g", F.lit(0)), on="_vl_g").drop("_vl_g")
+    j = with_group_values(df, qt, by)
     cond = F.col(q(col)) <= F.col("_vl_cut") if keep_below else F.col(q(col)) > F.col("_vl_cut")
     return j.where(cond).drop("_vl_cut")
 

@@ -107,7 +107,7 @@ def kendall_tau_b(df: DataFrame, level: str, value: str, levels, by=None) -> Dat
     """Kendall tau-b between a variable with few levels and any numeric
     value, without pairing rows: counts per (value, level) with running sums
     over the value give concordant minus discordant pairs exactly."""
-    from voltlens.operators.prefix import running_sum
+    from voltlens.operators.prefix import running_sum, with_group_values
 
     by = _by(by)
     levels = list(levels)
@@ -119,11 +119,9 @@ def kendall_tau_b(df: DataFrame, level: str, value: str, levels, by=None) -> Dat
     w = d.groupBy(*by, F.col(value).cast("double").alias("_y")).agg(
         *[F.sum((F.col(level) == F.lit(lv)).cast("long")).alias(cn[i]) for i, lv in enumerate(levels)])
     r = running_sum(w, ["_y"], cn, by=by)
-    g = by or ["_vl_g"]
-    if not by:
-        r = r.withColumn("_vl_g", F.lit(0))
+    g = by
     tot = r.groupBy(*g).agg(*[F.sum(c).alias(f"_tot{i}") for i, c in enumerate(cn)])
-    r = r.join(tot, on=g, how="inner")
+    r = with_group_values(r, tot, by)
     s = None
     for b_ in range(1, L):
         inner = None
@@ -155,12 +153,11 @@ def box_stats(df: DataFrame, value: str, by=None) -> DataFrame:
     from voltlens.operators.profile import exact_quantiles
 
     by = _by(by)
+    from voltlens.operators.prefix import with_group_values
+
     qs = exact_quantiles(df, value, [0.25, 0.5, 0.75], by=by, names=["q1", "median", "q3"])
-    g = by or ["_vl_g"]
-    src = df if by else df.withColumn("_vl_g", F.lit(0))
-    if not by:
-        qs = qs.withColumn("_vl_g", F.lit(0))
-    j = src.join(qs, on=g, how="inner")
+    g = by
+    j = with_group_values(df, qs, by)
     iqr = F.col("q3") - F.col("q1")
     v = F.col(value)
     a = j.groupBy(*g).agg(F.first("n").alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"),
@@ -169,7 +166,7 @@ def box_stats(df: DataFrame, value: str, by=None) -> DataFrame:
                           F.max(F.when(v <= F.col("q3") + 1.5 * iqr, v)).alias("whisker_high"),
                           F.sum(F.when((v < F.col("q1") - 1.5 * iqr) | (v > F.col("q3") + 1.5 * iqr), 1)
                                 .otherwise(0)).alias("outliers"))
-    return a.drop("_vl_g") if not by else a
+    return a
 
 
 def group_sum(df: DataFrame, by, value: str, name: str = "total") -> DataFrame:

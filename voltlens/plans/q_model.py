@@ -229,7 +229,8 @@ def k10_silhouette_sq(spark, sf_dir):
 
 # ----------------------------------------------------------------------------- supervised (M*)
 
-from voltlens.operators import classify as CL  # noqa: E402
+from voltlens.operators import classify as CL
+from voltlens.operators.prefix import with_group_values  # noqa: E402
 
 _SPLIT_KEY_SQL = "(o_orderkey * 2654435761) % 1000003"
 
@@ -303,9 +304,9 @@ def m3_gbt_ovr_metrics(spark, sf_dir):
     d, model = _sev_model(spark, sf_dir)
     pred = model.predict(d.where(F.col("is_test")))
     probs = {c: f"puntaje_{c}" for c in model.classes}
-    s = summary(pred, "puntaje", "puntaje_pred").withColumn("_g", F.lit(0))
-    a = weighted_ovr_auc(pred, "puntaje", probs).withColumn("_g", F.lit(0))
-    return s.join(a, "_g").drop("_g")
+    s = summary(pred, "puntaje", "puntaje_pred")
+    a = weighted_ovr_auc(pred, "puntaje", probs)
+    return with_group_values(s, a, [])
 
 
 @register("m5_feature_importance")
