@@ -17,16 +17,17 @@ from voltlens.plans.q_core import _C1_SQL, c1_process_data
 
 # ----------------------------------------------------------------------------- C2
 
-_C2_DERIVED_SPARK = {
-    "item_237": F.when(F.col("item_4") % 4 == 0, "TRUE").when(F.col("item_4") % 4 == 1, "no")
-                 .when(F.col("item_4") % 4 == 2, "x"),
-    "item_74": F.when(F.col("item_4") > 25, F.lit("SI")),
-    "item_68": F.col("item_99"),
-    "item_33": F.when(F.col("item_4") % 3 != 0, F.col("item_5")),
-    "item_601": F.when(F.col("item_4") % 2 == 0, F.lit("A")),
-    "item_23": F.when(F.col("item_4") % 3 == 0, "TRUE").when(F.col("item_4") % 3 == 1, "FALSE"),
-    "item_24": F.when(F.col("item_4") % 5 == 0, F.lit("TRUE")),
-}
+def _c2_derived_spark():
+    return {
+        "item_237": F.when(F.col("item_4") % 4 == 0, "TRUE").when(F.col("item_4") % 4 == 1, "no")
+                     .when(F.col("item_4") % 4 == 2, "x"),
+        "item_74": F.when(F.col("item_4") > 25, F.lit("SI")),
+        "item_68": F.col("item_99"),
+        "item_33": F.when(F.col("item_4") % 3 != 0, F.col("item_5")),
+        "item_601": F.when(F.col("item_4") % 2 == 0, F.lit("A")),
+        "item_23": F.when(F.col("item_4") % 3 == 0, "TRUE").when(F.col("item_4") % 3 == 1, "FALSE"),
+        "item_24": F.when(F.col("item_4") % 5 == 0, F.lit("TRUE")),
+    }
 _C2_DERIVED_SQL = """
   CASE WHEN item_4 % 4 = 0 THEN 'TRUE' WHEN item_4 % 4 = 1 THEN 'no' WHEN item_4 % 4 = 2 THEN 'x' END AS item_237,
   CASE WHEN item_4 > 25 THEN 'SI' END AS item_74, item_99 AS item_68,
@@ -36,6 +37,10 @@ _C2_DERIVED_SQL = """
 _C1_OUT = ["item_288", "PLAN_COMERCIAL", "NIVEL", "LATI_USU", "LONG_USU", "AREA", "ZONA", "Descripcion", "odt",
            "orden", "item_3", "item_4", "item_5", "item_6", "item_7", "item_99", "año"]
 _C2_SRC = _C1_OUT + ["item_237", "item_74", "item_68", "item_33", "item_601", "item_23", "item_24"]
+# columns of the cleaned output in this analogue (the rest of the sink schema is absent)
+CLEAN_KEEP_PRESENT = ["AREA", "item_288", "odt", "orden", "PLAN_COMERCIAL", "Descripcion", "reincidente",
+                      "Anomalia_conf", "ZONA", "año", "LATI_USU", "LONG_USU", "NIVEL", "item_68", "item_74",
+                      "item_237", "item_33", "item_601", "item_24", "item_23"]
 
 
 def _bool_sql(x):
@@ -65,7 +70,7 @@ FROM t
 
 
 def c2_input(spark, sf_dir):
-    return c1_process_data(spark, sf_dir).withColumns(_C2_DERIVED_SPARK).select(*[SC.q(c) for c in _C2_SRC])
+    return c1_process_data(spark, sf_dir).withColumns(_c2_derived_spark()).select(*[SC.q(c) for c in _C2_SRC])
 
 
 @register("c2_clean", V(_C2_SQL, "anomalies", "users", "plain", "uid_conversion"))
@@ -256,3 +261,14 @@ def a15_zone_stats(spark, sf_dir):
     means = PR.mean_of(u, ["LATI_USU", "LONG_USU"], by="ZONA")
     mode = PR.mode_of(u, "AREA", by="ZONA")
     return means.join(mode, on=means["ZONA"].eqNullSafe(mode["ZONA"]), how="left").drop(mode["ZONA"])
+
+
+@register("w3_first_row_per_key", """
+SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM (
+  SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders)
+WHERE rn = 1""")
+def w3_first_row_per_key(spark, sf_dir):
+    o = A.read(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    o = o.withColumn("_ord", F.struct("o_orderdate", "o_orderkey"))
+    return D.keep_first(o, ["o_custkey"], "_ord", keep_order=False)

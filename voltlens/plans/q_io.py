@@ -305,7 +305,28 @@ def c6_scoring_job(spark, sf_dir):
     return sheet
 
 
-@register("c8_load_job", None)
+def _c8_sql():
+    from voltlens.plans.jobs import ANOMALIA_SCHEMA
+    from voltlens.plans.q_clean import _C2_SQL, CLEAN_KEEP_PRESENT
+    cols = []
+    for f in ANOMALIA_SCHEMA.fields:
+        if f.name == "id":
+            cols.append("substr(sha256(concat_ws(chr(1), CAST(odt AS VARCHAR), CAST(orden AS VARCHAR), "
+                        "CAST(item_288 AS VARCHAR))), 1, 32) AS id")
+        elif f.name == "fecha_creacion":
+            cols.append(f"'{RUN_TS}' AS fecha_creacion")
+        elif f.name in CLEAN_KEEP_PRESENT:
+            cols.append(f'"{f.name}"')
+        else:
+            t = {"StringType()": "VARCHAR", "BooleanType()": "BOOLEAN", "DoubleType()": "DOUBLE",
+                 "LongType()": "BIGINT"}[repr(f.dataType)]
+            cols.append(f'CAST(NULL AS {t}) AS "{f.name}"')
+    body = _C2_SQL.strip()
+    return V("WITH c2 AS (" + body + ")\nSELECT " + ", ".join(cols) + " FROM c2",
+             "anomalies", "users", "plain", "uid_conversion")
+
+
+@register("c8_load_job", _c8_sql())
 def c8_load_job(spark, sf_dir):
     from voltlens.plans.jobs import load_job
     from voltlens.plans.q_clean import c2_clean
