@@ -30,10 +30,22 @@ class ZonePrep:
     modes: DataFrame          # zone, <c> (mode) for categorical c
     dictionary: DataFrame     # zone, column, value, code
 
-    def persist(self):
-        self.num_stats = self.num_stats.persist()
-        self.modes = self.modes.persist()
-        self.dictionary = self.dictionary.persist()
+    def materialize(self):
+        """Write the fitted tables to the shared checkpoint folder (reliable
+        checkpoint): later jobs read them without recomputing the fit, and a
+        lost executor does not lose them."""
+        from voltlens.session import checkpoint_dir
+
+        checkpoint_dir(self.num_stats.sparkSession)
+
+        def cut(df):
+            # cached while the checkpoint job runs, so the table is computed once
+            c = df.persist()
+            out = c.checkpoint()
+            c.unpersist()
+            return out
+
+        self.num_stats, self.modes, self.dictionary = cut(self.num_stats), cut(self.modes), cut(self.dictionary)
         return self
 
 
@@ -75,7 +87,9 @@ def fit_zone_prep(df: DataFrame, zone_col: str | None, num_cols, cat_cols) -> Zo
     # distinct non-null values per (zone, column)
     dicts = dense_codes(counts.select(*g, "column", "value"), "value", by=[*g, "column"], name="code")
     dicts = dicts.select(*g, "column", "value", "code")
-    return ZonePrep(zone_col or "_vl_g", list(num_cols), list(cat_cols), num_stats, modes, dicts)
+    prep = ZonePrep(zone_col or "_vl_g", list(num_cols), list(cat_cols), num_stats, modes, dicts).materialize()
+    counts.unpersist()
+    return prep
 
 
 def impute_modes(df: DataFrame, modes: DataFrame, keys, cat_cols) -> DataFrame:

@@ -197,11 +197,12 @@ def train_zones(df: DataFrame, zone_col: str = "ZONA", num=CLUSTER_NUM, cat=CLUS
     from voltlens.operators.features import fit_zone_prep, transform_zone_prep
 
     rows = cluster_fit_rows(df, zone_col, num, cat).persist()
-    prep = fit_zone_prep(rows, zone_col, num, cat).persist()
+    prep = fit_zone_prep(rows, zone_col, num, cat)
     feats = transform_zone_prep(rows, prep)
     d = len(num) + len(cat)
     model = fcm.fit(feats, zone_col, d, K=K, m=m, max_iter=max_iter, tol=tol,
                     init=init(feats) if callable(init) else init, seed=seed)
+    rows.unpersist()
     return prep, model, feats
 
 
