@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from voltlens.functions.schema import q
 from voltlens.operators.prefix import dense_codes
-from voltlens.operators.profile import mode_of
 
 
 @dataclass

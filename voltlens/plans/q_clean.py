@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from voltlens.functions import casts as C
 from voltlens.functions import scalars as S
 from voltlens.functions import schema as SC
 from voltlens.operators import dedupe as D

@@ -46,8 +46,6 @@ def s2_csv_typed(spark, sf_dir):
 SELECT l_orderkey, l_linenumber, l_quantity,
        row_number() OVER () AS pos FROM lineitem""")
 def s3_table_scan(spark, sf_dir):
-    from pyspark.sql import Window
-    del Window
     li = files.read_table(spark, f"{sf_dir}/lineitem.parquet", ordinal="_ord")
     # the ordinal is the row's position in the file: rank it to a plain number
     from voltlens.operators.prefix import row_rank

@@ -7,12 +7,9 @@ chain generated from a template.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import functions as F
 
 from voltlens.operators import fcm
-from voltlens.operators.features import transform_zone_prep
 from voltlens.plans import analogues as A
 from voltlens.plans import pipelines as P
 from voltlens.plans.analogues import with_views as V
@@ -140,9 +137,6 @@ def _argmax_sql():
 
 # ----------------------------------------------------------------------------- queries
 
-_R6 = ", ".join
-
-
 @register("k1_k2_zone_scaler", _sql('SELECT "ZONA", m0 AS "LATI_USU__mean", s0 AS "LATI_USU__scale", '
                                     'm1 AS "LONG_USU__mean", s1 AS "LONG_USU__scale" FROM st'))
 def k1_k2_zone_scaler(spark, sf_dir):
