@@ -87,3 +87,21 @@ def test_merge_and_clean_small(spark):
                               ", ".join(f"{c} {'long' if c in ('CLIENTE', 'PRODUCTO') else 'double' if c in ('FASES', 'KVA', 'LATI_USU', 'LONG_USU', 'LATI_TRAFO', 'LONG_TRAFO') else 'string'}" for c in cols))
     out = P.merge_and_clean(an, u, sev).collect()
     assert sorted((r.Orden, r.Codigo, r.puntaje) for r in out) == [(1, "A1", 3), (1, "B2", 5)]
+
+
+def test_process_data_fixture(spark):
+    """FIXTURES sections 1-4: zone row without customer number dropped, non-numeric number dropped,
+    uid with two orden fans out, anomalies of the year joined, items widened and typed."""
+    p = plain(spark)
+    users = spark.createDataFrame([(501, "U", "P1", 1.0, 1.2, -77.0, "PACIFICO")],
+                                  "PRODUCTO long, AREA string, PLAN_COMERCIAL string, NIVEL double, "
+                                  "LATI_USU double, LONG_USU double, ZONA string")
+    uid = spark.createDataFrame([(10, 1000), (10, 1001), (None, 5)], "uid long, orden long")
+    an = spark.createDataFrame([(1000, "fraude", "r", dt.date(2022, 3, 1)), (1001, "x", "r", dt.date(2023, 1, 1))],
+                               "Orden long, Descripcion string, Revision string, Ejecucion date")
+    out = P.process_data(an, users, p, uid, target_year=2022, item_ids=[33, 43, 237],
+                         item_types={"item_43": "double", "item_237": "bool"}).orderBy("orden").collect()
+    assert [(r.odt, r.orden, r.item_288, r.Descripcion) for r in out] == [(10, 1000, 501, "fraude"),
+                                                                          (10, 1001, 501, None)]
+    assert out[0].item_43 == 12.0 and out[0].item_237 is True and out[0].item_33 is None
+    assert out[0]["año"] == 2022
