@@ -105,3 +105,10 @@ def test_process_data_fixture(spark):
                                                                           (10, 1001, 501, None)]
     assert out[0].item_43 == 12.0 and out[0].item_237 is True and out[0].item_33 is None
     assert out[0]["año"] == 2022
+
+
+def test_salted_group_sizes_equal_plain(spark):
+    df = spark.createDataFrame([(1 if i % 3 else None, i) for i in range(300)], "k long, v long")
+    a = sorted((r.v, r.k, r._vl_n) for r in dedupe.group_sizes(df, ["k"]).collect())
+    b = sorted((r.v, r.k, r._vl_n) for r in dedupe.group_sizes(df, ["k"], salt=7).collect())
+    assert a == b and {r[2] for r in a} == {100, 200}

@@ -41,10 +41,25 @@ def keep_first(df: DataFrame, keys, order_col: str = "_ord", keep_order: bool =
     return out.select(*[q(c) for c in df.columns if keep_order or c != order_col])
 
 
-def group_sizes(df: DataFrame, keys, name: str = "_vl_n", null_keys_equal: bool = True) -> DataFrame:
-    """Attach the size of each row's key group (W1 building block)."""
+def group_sizes(df: DataFrame, keys, name: str = "_vl_n", null_keys_equal: bool = True,
+                salt: int = 1) -> DataFrame:
+    """Attach the size of each row's key group (W1 building block).
+
+    Counts are pre-aggregated map-side; adaptive execution splits a skewed
+    join partition. With ``salt > 1`` the join is also salted explicitly: every
+    row gets a deterministic salt from a hash of its content (stable when a
+    task is recomputed) and the count table is replicated ``salt`` times, so
+    one hot key is spread over ``salt`` join tasks even without AQE."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     counts = df.groupBy(*[q(k) for k in keys]).agg(F.count(F.lit(1)).alias(name))
+    if salt > 1:
+        s = "_vl_salt"
+        big = df.withColumn(s, F.pmod(F.xxhash64(*[F.col(q(c)) for c in df.columns]), F.lit(salt)))
+        small = counts.withColumn(s, F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")))
+        renamed = small.withColumnsRenamed({k: f"_vl_k_{i}" for i, k in enumerate(keys)})
+        cond = [big[q(k)].eqNullSafe(F.col(f"_vl_k_{i}")) if null_keys_equal else big[q(k)] == F.col(f"_vl_k_{i}")
+                for i, k in enumerate(keys)] + [big[s] == renamed[s]]
+        return big.join(renamed, on=cond, how="left").drop(s, *[f"_vl_k_{i}" for i in range(len(keys))])
     if null_keys_equal:
         renamed = counts.withColumnsRenamed({k: f"_vl_k_{i}" for i, k in enumerate(keys)})
         cond = [df[q(k)].eqNullSafe(F.col(f"_vl_k_{i}")) for i, k in enumerate(keys)]

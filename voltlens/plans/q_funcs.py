@@ -383,3 +383,9 @@ def x6_reconciliation(spark, sf_dir):
     a = an.where(y.between(1994, 1996)).select("Orden", "Usuario")
     b = an.where(y.between(1995, 1997)).select("Orden", "Usuario")
     return reconcile(a, b)
+
+
+@register("p9_find_by_id", "SELECT * FROM orders WHERE o_orderkey = 4242")
+def p9_find_by_id(spark, sf_dir):
+    from voltlens.operators.filters import find_by_id
+    return find_by_id(A.read(spark, sf_dir, "orders"), 4242, "o_orderkey")
