@@ -26,7 +26,9 @@ def _orders_csv(spark, sf_dir):
     return path
 
 
-@register("s1_csv_inferred", f"SELECT {_ORDERS_COLS} FROM orders")
+# inference picks INT for keys whose values fit in 32 bits
+@register("s1_csv_inferred", "SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, "
+                             "o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
 def s1_csv_inferred(spark, sf_dir):
     return files.read_csv(spark, _orders_csv(spark, sf_dir))
 
@@ -83,7 +85,7 @@ def _land_api(spark, sf_dir):
 
 _API_SQL = """
 SELECT event_id AS odt, CAST(trunc(CAST(CAST(user_id AS VARCHAR) AS DOUBLE)) AS BIGINT) AS orden,
-       value AS "LATI_USU", -value AS "LONG_USU", 0.0 AS "NIVEL", event_type AS "PLAN_COMERCIAL",
+       value AS "LATI_USU", -value AS "LONG_USU", CAST(0.0 AS DOUBLE) AS "NIVEL", event_type AS "PLAN_COMERCIAL",
        json_extract_string(props, '$.k') AS "ZONA", event_id % 1000 AS item_288, 'NO' AS item_23,
        'Anomalia' AS "Anomalia_conf", CAST(2024 AS BIGINT) AS "año"
 FROM events WHERE event_type NOT IN ('view', 'error', 'click')"""

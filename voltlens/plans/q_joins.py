@@ -153,7 +153,7 @@ _SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
 @register("k6_one_hot", V('SELECT "CLIENTE", ' + ", ".join(
-    f"""CASE WHEN a = '{s}' THEN 1.0 ELSE 0.0 END AS oh_{i}""" for i, s in enumerate(_SEGMENTS)) + """
+    f"""CAST(CASE WHEN a = '{s}' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS oh_{i}""" for i, s in enumerate(_SEGMENTS)) + """
 FROM (SELECT "CLIENTE", CASE WHEN "CLIENTE" % 19 = 0 THEN NULL ELSE "AREA" END AS a FROM users)""", "users"))
 def k6_one_hot(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
