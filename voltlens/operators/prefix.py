@@ -59,6 +59,19 @@ def with_group_values(df: DataFrame, small: DataFrame, by) -> DataFrame:
     return df.withColumns(vals)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and continue from the
+    files: later passes (count, cut points, the sums) read it instead of
+    recomputing the aggregation below, and lineage is cut for recovery."""
+    from voltlens.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    cached = df.persist()
+    out = cached.checkpoint()
+    cached.unpersist()
+    return out
+
+
 def running_sum(df: DataFrame, order_cols, sum_cols, by=None, descending: bool = False,
                 bucket_rows: int = 250_000, n_rows: int | None = None,
                 suffix: str = "_cum") -> DataFrame:
@@ -72,6 +85,7 @@ def running_sum(df: DataFrame, order_cols, sum_cols, by=None, descending: bool =
     by = _as_list(by)
     lead = F.col(order_cols[0])
     if n_rows is None:
+        df = materialize(df)
         n_rows = df.count()
     sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
     if n_rows <= bucket_rows:

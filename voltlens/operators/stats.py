@@ -40,12 +40,10 @@ def average_rank(df: DataFrame, col: str, by=None, name: str | None = None) -> D
     c = df.groupBy(*by, F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
     c = c.where(F.col("_v").isNotNull())
     r = running_sum(c, ["_v"], ["_c"], by=by)
-    r = r.select(*by, "_v", (F.col("_c_cum") - (F.col("_c") - 1) / 2.0).alias(name))
-    cond = [df[col] == r["_v"]] + [df[b].eqNullSafe(r[b]) for b in by]
-    out = df.join(r, on=cond, how="left").drop("_v")
-    for b in by:
-        out = out.drop(r[b])
-    return out
+    r = r.select(*[F.col(b).alias(f"_rb{i}") for i, b in enumerate(by)], "_v",
+                 (F.col("_c_cum") - (F.col("_c") - 1) / 2.0).alias(name))
+    cond = [F.col(col) == F.col("_v")] + [F.col(b).eqNullSafe(F.col(f"_rb{i}")) for i, b in enumerate(by)]
+    return df.join(r, on=cond, how="left").drop("_v", *[f"_rb{i}" for i in range(len(by))])
 
 
 def spearman(df: DataFrame, x: str, y: str, by=None, min_n: int = 0) -> DataFrame:
