@@ -101,6 +101,10 @@ class FcmModel:
         return spark.createDataFrame(rows, T.StructType(fields))
 
 
+# largest centre table (zones x K x d numbers) sent as a broadcast: 4M doubles = 32 MB
+BROADCAST_NUMBERS = 4_000_000
+
+
 def _attach_model(feats: DataFrame, model: "FcmModel", prefix: str = "c") -> DataFrame:
     """Add centre columns ``c{k}_{j}`` for each row's zone; rows of zones
     without a model are dropped (inner semantics, J10).
@@ -109,7 +113,11 @@ def _attach_model(feats: DataFrame, model: "FcmModel", prefix: str = "c") -> Dat
     the driver). Passing them as data rather than literals keeps the generated
     code identical between iterations, so it is compiled once.
     """
-    return feats.join(F.broadcast(model.centres_df(feats.sparkSession, prefix)), on=model.zone_col, how="inner")
+    cdf = model.centres_df(feats.sparkSession, prefix)
+    if len(model.centres) * model.K * model.d <= BROADCAST_NUMBERS:
+        cdf = F.broadcast(cdf)
+    # beyond the bound (very many zones) the centres table is joined by a shuffle
+    return feats.join(cdf, on=model.zone_col, how="inner")
 
 
 def fit(feats: DataFrame, zone_col: str, d: int, K: int = 3, m: float = 2.0, max_iter: int = 150,
