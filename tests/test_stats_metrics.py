@@ -69,3 +69,14 @@ def test_per_class_zero_division(spark):
     pc = {r["class"]: r for r in MT.per_class(df, "y", "p").collect()}
     assert pc[2].precision == 0.0 and pc[2].recall == 0.0 and pc[2].f1 == 0.0
     assert abs(pc[1].precision - 1 / 3) < 1e-12
+
+
+def test_pvalue_against_closed_form():
+    # for 3 degrees of freedom the two-sided t p-value has a closed form
+    import math
+
+    r, n = 0.6, 5
+    t = r * math.sqrt((n - 2) / (1 - r * r))
+    x = t / math.sqrt(3)
+    p = 1 - 2 / math.pi * (math.atan(x) + x / (1 + x * x))
+    assert abs(ST.correlation_pvalue(r, n) - p) < 1e-10

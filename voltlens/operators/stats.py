@@ -189,3 +189,16 @@ def composition(df: DataFrame, zone: str, cluster: str, score: str, value: str,
         t = F.coalesce(F.col(f"`{lv}_v`"), F.lit(0.0))
         tot = t if tot is None else tot + t
     return p.select(*cols, tot.alias(f"{value}_total"))
+
+
+def with_pvalues(corr: DataFrame, r_col: str = "rho", n_col: str = "n", alpha: float = 0.05) -> DataFrame:
+    """Two-sided p-values of correlations (Student t, n-2 degrees of
+    freedom) and a significance flag. ``corr`` has one row per group (zones),
+    so it is read on the driver and the p-values are computed from (r, n)."""
+    rows = corr.collect()
+    schema = corr.schema.add("p_value", "double").add("significant", "boolean")
+    out = []
+    for row in rows:
+        p = correlation_pvalue(row[r_col], row[n_col])
+        out.append(tuple(row) + (p, bool(p == p and p < alpha)))
+    return corr.sparkSession.createDataFrame(out, schema)

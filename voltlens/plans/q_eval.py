@@ -273,3 +273,11 @@ def a7_pivot_count(spark, sf_dir):
     + " FROM lineitem GROUP BY l_returnflag")
 def a8_pivot_levels(spark, sf_dir):
     return ST.pivot_count(A.read(spark, sf_dir, "lineitem"), "l_returnflag", "l_linenumber", list(range(1, 9)))
+
+
+@register("x2_spearman_significance")
+def x2_spearman_significance(spark, sf_dir):
+    """Per-zone rho with p-value and the 5% significance flag (no SQL twin:
+    DuckDB has no t distribution)."""
+    li = A.read(spark, sf_dir, "lineitem")
+    return ST.with_pvalues(ST.spearman(li, "l_quantity", "l_extendedprice", by="l_returnflag", min_n=5))
