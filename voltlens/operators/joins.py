@@ -22,29 +22,29 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
-def _key_cond(left: DataFrame, right: DataFrame, lk, rk, null_keys_match: bool) -> Column:
-    lks = [lk] if isinstance(lk, str) else list(lk)
-    rks = [rk] if isinstance(rk, str) else list(rk)
-    cond = None
-    for a, b in zip(lks, rks):
-        c = left[q(a)].eqNullSafe(right[q(b)]) if null_keys_match else (left[q(a)] == right[q(b)])
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def join_renamed(left: DataFrame, right: DataFrame, left_key, right_key, how: str = "inner",
                  drop_right_key: bool = True, null_keys_match: bool = False) -> DataFrame:
     """Join on differently named keys, then drop the right key.
 
+    The right keys are renamed before the join and the condition refers to
+    column names only, so two sides derived from the same table (or the same
+    checkpoint) never produce ambiguous references.
     ``null_keys_match`` reproduces pandas ``merge`` pairing NULL with NULL (J11, D8);
     off by default because it also creates one hot NULL key.
     """
-    out = left.join(right, _key_cond(left, right, left_key, right_key, null_keys_match), how)
+    lks = [left_key] if isinstance(left_key, str) else list(left_key)
+    rks = [right_key] if isinstance(right_key, str) else list(right_key)
+    tmp = {b: f"_vl_rk{i}" for i, b in enumerate(rks)}
+    r = right.withColumnsRenamed(tmp)
+    cond = None
+    for a, b in zip(lks, rks):
+        la, rb = F.col(q(a)), F.col(tmp[b])
+        c = la.eqNullSafe(rb) if null_keys_match else (la == rb)
+        cond = c if cond is None else cond & c
+    out = left.join(r, cond, how)
     if drop_right_key:
-        rks = [right_key] if isinstance(right_key, str) else list(right_key)
-        for b in rks:
-            out = out.drop(right[q(b)])
-    return out
+        return out.drop(*tmp.values())
+    return out.withColumnsRenamed({v: k for k, v in tmp.items()})
 
 
 def coerce_key(df: DataFrame, col: str) -> DataFrame:
