@@ -166,7 +166,11 @@ def clean(df: DataFrame, order_col: str | None = None, dedupe_keys=("orden", "od
     if cols:
         df = df.withColumns(cols)
     if recurrence_key in df.columns:
-        df = dedupe.recurrence_flag(df, recurrence_key)
+        # the recurrence count reads the cleaned rows a second time: write them
+        # once (reliable checkpoint) instead of recomputing the whole build
+        from voltlens.operators.prefix import materialize
+
+        df = dedupe.recurrence_flag(materialize(df), recurrence_key)
     if "Descripcion" in df.columns:
         d = F.col("Descripcion")
         if fill_null_description is not None:
