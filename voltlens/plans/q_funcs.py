@@ -389,3 +389,14 @@ def x6_reconciliation(spark, sf_dir):
 def p9_find_by_id(spark, sf_dir):
     from voltlens.operators.filters import find_by_id
     return find_by_id(A.read(spark, sf_dir, "orders"), 4242, "o_orderkey")
+
+
+@register("f1_split_codes", V("""
+SELECT "Orden", CAST(len(string_split("Codigo", '/')) AS INTEGER) AS n_parts,
+       trim(string_split("Codigo", '/')[1]) AS part_1, trim(string_split("Codigo", '/')[2]) AS part_2
+FROM anomalies""", "anomalies"))
+def f1_split_codes(spark, sf_dir):
+    parts = S.split_trim("Codigo")
+    a = A.anomalies(spark, sf_dir)
+    return a.select("Orden", F.size(parts).alias("n_parts"), F.element_at(parts, 1).alias("part_1"),
+                    F.element_at(parts, 2).alias("part_2"))
