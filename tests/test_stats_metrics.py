@@ -80,3 +80,38 @@ def test_pvalue_against_closed_form():
     x = t / math.sqrt(3)
     p = 1 - 2 / math.pi * (math.atan(x) + x / (1 + x * x))
     assert abs(ST.correlation_pvalue(r, n) - p) < 1e-10
+
+
+def test_box_stats_and_grouped_quantiles(spark):
+    rng = np.random.default_rng(11)
+    g = rng.integers(0, 3, 300)
+    v = np.round(rng.normal(size=300) * 10, 1)
+    v[:3] = [500.0, -400.0, 300.0]
+    got = {r.g: r for r in ST.box_stats(_df(spark, g=g, v=v), "v", by="g").collect()}
+    for k in range(3):
+        x = v[g == k]
+        q1, med, q3 = np.percentile(x, [25, 50, 75])
+        iqr = q3 - q1
+        inside = x[(x >= q1 - 1.5 * iqr) & (x <= q3 + 1.5 * iqr)]
+        r = got[k]
+        assert abs(r.q1 - q1) < 1e-9 and abs(r.median - med) < 1e-9 and abs(r.q3 - q3) < 1e-9
+        assert r.whisker_low == inside.min() and r.whisker_high == inside.max()
+        assert r.outliers == len(x) - len(inside)
+
+
+def test_curve_multi_range_matches_single(spark):
+    rng = np.random.default_rng(4)
+    y = rng.integers(0, 2, 400)
+    s = rng.integers(0, 150, 400).astype(float)
+    df = _df(spark, y=y, s=s)
+    from voltlens.operators import prefix
+
+    single = sorted(tuple(r) for r in MT.curve(df, "y", "s").collect())
+    old = prefix.running_sum.__defaults__
+    try:
+        # force the ranged path: many ranges over 150 distinct scores
+        prefix.running_sum.__defaults__ = (None, False, 20, None, "_cum")
+        multi = sorted(tuple(r) for r in MT.curve(df, "y", "s").collect())
+    finally:
+        prefix.running_sum.__defaults__ = old
+    assert single == multi
