@@ -81,3 +81,18 @@ def test_stream_equals_batch(spark):
     batch, _ = api_json.validate(api_json.read_records(spark, land, json_lines=True), 2024, "2024-01-01 00:00:00")
     assert streamed.count() == 20
     assert sorted(streamed.select("odt").collect()) == sorted(batch.select("odt").collect())
+
+
+def test_ingest_ordinal_follows_file_order_across_splits(spark):
+    path = scratch_path(spark, "ord-csv")
+    lines = ["k,v"] + [f"{i % 7},{i}" for i in range(5000)]
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = files.read_csv(spark, path, "k long, v long", ordinal="_ord")
+        assert df.rdd.getNumPartitions() > 1
+        ordered = [r.v for r in df.orderBy("_ord").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert ordered == list(range(5000))
