@@ -281,3 +281,10 @@ def x2_spearman_significance(spark, sf_dir):
     DuckDB has no t distribution)."""
     li = A.read(spark, sf_dir, "lineitem")
     return ST.with_pvalues(ST.spearman(li, "l_quantity", "l_extendedprice", by="l_returnflag", min_n=5))
+
+
+@register("x1_spearman_pvalue")
+def x1_spearman_pvalue(spark, sf_dir):
+    """Global rho with its two-sided p-value (no SQL twin: no t distribution in DuckDB)."""
+    li = A.read(spark, sf_dir, "lineitem")
+    return ST.with_pvalues(ST.spearman(li, "l_linenumber", "l_extendedprice"))
