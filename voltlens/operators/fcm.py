@@ -127,17 +127,19 @@ def fit(feats: DataFrame, zone_col: str, d: int, K: int = 3, m: float = 2.0, max
     (default: seeded hash of the features). Stops when the largest centre move
     is below ``tol`` or after ``max_iter`` centre updates."""
     fcols = [f"{x}{j}" for j in range(d)]
-    base = feats.select(zone_col, *fcols).persist()
     w = init or default_init(K, seed, fcols)
+    # one cached pass over the features: the start weights ride along, so the
+    # feature pipeline below is computed once for the whole fit
+    base = feats.select(zone_col, *fcols, *[e.cast("double").alias(f"_w{k}") for k, e in enumerate(w)]).persist()
     tot = None
-    for e in w:
-        tot = e if tot is None else tot + e
-    u0 = feats.select(zone_col, *fcols, *[(w[k] / tot).alias(f"u{k}") for k in range(K)])
+    for k in range(K):
+        tot = F.col(f"_w{k}") if tot is None else tot + F.col(f"_w{k}")
+    u0 = base.select(zone_col, *fcols, *[(F.col(f"_w{k}") / tot).alias(f"u{k}") for k in range(K)])
     centres = _collect_centres(u0.groupBy(zone_col).agg(*centre_aggs(K, d, m, x)), zone_col, K, d)
     it = 1
     while it < max_iter:
         model = FcmModel(zone_col, K, d, m, centres, it)
-        j = add_memberships(_attach_model(base, model), K, d, m, x)
+        j = add_memberships(_attach_model(base.select(zone_col, *fcols), model), K, d, m, x)
         new = _collect_centres(j.groupBy(zone_col).agg(*centre_aggs(K, d, m, x)), zone_col, K, d)
         it += 1
         shift = max((abs(a - b) for z in new for ca, cb in zip(new[z], centres.get(z, new[z]))
