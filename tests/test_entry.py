@@ -17,4 +17,6 @@ def test_entry_smoke(spark):
 def test_oracles_cover_queries():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == ROWS_ONLY
+    # the training-data operators have their own tests
+    own = {k for k in set(q) - set(o) if not k.startswith("op") and k != "pipeline"}
+    assert own == ROWS_ONLY
