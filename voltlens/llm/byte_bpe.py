@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from voltlens.llm.common import annotate, arrow_type, position
+from voltlens.llm.common import annotate, arrow_type, importable, position
 
 #: Distinct matches kept per task.
 KEPT_MATCHES = 400_000
@@ -154,6 +154,7 @@ def encode(df: DataFrame, ranks_path: str, text_col: str = "text", keep=None, of
 
 def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
     """Append ``decoded`` (binary, the joined token bytes); null ids give empty bytes."""
+    importable(df.sparkSession)
     carried = [i for i, c in enumerate(df.columns) if c.lower() != "decoded"]
     at = position(df, ids_col)
     names = [f"c{i}" for i in range(len(df.columns))]

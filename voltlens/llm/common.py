@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -13,6 +15,15 @@ from voltlens.session import scratch_path
 SLICE_BYTES = 4 << 20
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from the folder the driver has it in. A cluster
+    whose executors lack that folder gets the package by ``--py-files`` or an installation."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
+
+
 def position(df: DataFrame, name: str) -> int:
     """Index of the column with exactly this name; else the only one equal without case."""
     if name in df.columns:
@@ -25,6 +36,7 @@ def position(df: DataFrame, name: str) -> int:
 
 def pick(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """``{new name: input name}`` as a projection; extra columns may clash in name or case."""
+    importable(df.sparkSession)
     plain = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
     return plain.select(*(F.col(f"c{position(df, src)}").alias(new) for new, src in columns.items()))
 
@@ -57,6 +69,7 @@ def annotate(df: DataFrame, text_col: str, fields: list[T.StructField],
     list of values per new field. ``keep``: input columns to carry (default: all).
     Input columns whose names equal a new field (without case) are replaced by it.
     """
+    importable(df.sparkSession)
     new = {f.name.lower() for f in fields}
     carried = [i for i, c in enumerate(df.columns) if c.lower() not in new]
     if keep is not None:

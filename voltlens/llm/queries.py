@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voltlens.llm import byte_bpe, licenses, secrets, sharding, simhash
+from voltlens.llm import (byte_bpe, decontaminate, langid, licenses, repeats, secrets, sharding, simhash, topk,
+                          toxicity)
 from voltlens.llm.common import pick, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -28,6 +29,11 @@ def op2_shard_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_leaks(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select("doc_id", F.explode("leaks").alias("l")).select("doc_id", "l.*")
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(documents(spark, sf_dir), scope_chars=200, keep=["doc_id"])
     shown = lambda spans: F.array_join(F.transform(
@@ -39,6 +45,24 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         shown(F.col("secrets")).alias("spans"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = repeats.remove_repeats(documents(spark, sf_dir), length=50)
+    return left.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
+                       F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs)
+    out = langid.predict(documents(spark, sf_dir), model, keep=["doc_id"])
+    held_out = F.coalesce(~langid.learned(F.col("doc_id")), F.lit(False))
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected", "cross_entropy")
+
+
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(RANKS)
     coded = byte_bpe.decode(byte_bpe.encode(documents(spark, sf_dir), path, keep=["doc_id"]), path)
@@ -47,14 +71,51 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic", split_positives=2)
+    return toxicity.score(docs, model, keep=["doc_id"])
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(documents(spark, sf_dir), keep=["doc_id"])
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_shard_shuffle, op4_secret_scan, op8_byte_bpe,
-                                   op10_license_scan)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_simhash_near_dedup, op2_shard_shuffle, op3_benchmark_decontamination, op4_secret_scan, op5_suffix_dedup,
+    op6_language_id, op7_exact_top_k, op8_byte_bpe, op9_toxicity, op10_license_scan)}
+
+SQL: dict[str, str] = {
+    "op5_suffix_dedup": """
+        WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n
+                      FROM documents),
+        places AS (SELECT doc_id, n, unnest(range(n - 49)) AS i, h FROM docs WHERE n >= 50),
+        windows AS (SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 100)) AS w FROM places),
+        owners AS (SELECT w, min(doc_id) AS low FROM windows GROUP BY w),
+        hits AS (SELECT doc_id, i FROM windows JOIN owners USING (w) WHERE low < doc_id),
+        marked AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END
+                   AS fresh FROM hits),
+        runs AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked),
+        spans AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM runs GROUP BY doc_id, run),
+        cuts AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS p FROM spans),
+        pieces AS (SELECT c.doc_id, string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) AS k, max(b) AS e,
+                          count(*) AS spans, sum(b - a) AS gone
+                   FROM cuts c JOIN docs d ON c.doc_id = d.doc_id GROUP BY c.doc_id)
+        SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
+               CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+               sha256(unhex(CASE WHEN e IS NULL THEN h ELSE k || substr(h, 2 * e + 1) END)) AS kept_sha256
+        FROM docs d LEFT JOIN pieces p ON d.doc_id = p.doc_id""",
+    "op7_exact_top_k": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+                   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        pairs AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+                  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+        ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+                   FROM pairs)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+}
 
 
 def queries() -> dict:

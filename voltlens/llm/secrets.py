@@ -21,7 +21,7 @@ from bisect import bisect_left, bisect_right
 
 from pyspark.sql import DataFrame, types as T
 
-from voltlens.llm.common import annotate
+from voltlens.llm.common import annotate, position
 
 # The base patterns.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -153,11 +153,7 @@ def redact(df: DataFrame, text_col: str = "text", scope_chars: int = 200, mask:
 
         return lambda texts: [[one(t) for t in texts]]
 
-    from voltlens.llm.common import position
-
-    name = df.columns[position(df, text_col)]
-    out = annotate(df, text_col, [T.StructField(name, T.StringType())], make)
-    at = [c.lower() for c in out.columns].index(name.lower())
-    plain = out.toDF(*(f"c{i}" for i in range(len(out.columns))))
-    order = [f"c{at}" if c == name else f"c{out.columns.index(c)}" for c in df.columns if c in out.columns]
-    return plain.select(*order).toDF(*(c for c in df.columns if c in out.columns))
+    names = [f"c{i}" for i in range(len(df.columns))]
+    at = position(df, text_col)
+    masked = annotate(df.toDF(*names), names[at], [T.StructField("masked", T.StringType())], make)
+    return masked.select(*("masked" if i == at else n for i, n in enumerate(names))).toDF(*df.columns)

@@ -102,6 +102,8 @@ def links(distinct: DataFrame, max_bits: int = 3, segments: int = 2) -> DataFram
     if 64 % segments:
         raise ValueError("segments must divide 64")
     width, radius = 64 // segments, max_bits // segments
+    # few bytes grow to many probes: keep as many tasks as a shuffle has
+    distinct = distinct.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), "simhash")
     fp = F.col("simhash")
     stored, probes = [], []
     for i in range(segments):
