@@ -96,3 +96,37 @@ def test_ingest_ordinal_follows_file_order_across_splits(spark):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert ordered == list(range(5000))
+
+
+def test_large_ids_do_not_meet(spark):
+    from voltlens.functions.casts import is_fractional, nullable_long
+    from voltlens.operators import joins
+
+    a, b = 9007199254740993, 9007199254740992
+    rows = [(str(a), a), (f" {a}.0 ", a), ("12.0", 12), ("1.2E1", 12), ("12.5", None), ("x", None), ("NaN", None),
+            (None, None), ("-7", -7), ("9223372036854775807", 9223372036854775807), ("9223372036854775808", None)]
+    df = spark.createDataFrame(rows, "t string, want long")
+    for r in df.select("*", nullable_long("t").alias("got"), is_fractional("t").alias("f")).collect():
+        assert r.got == r.want and r.f == (r.t == "12.5") , r
+    left, right = spark.createDataFrame([(a,)], "k long"), spark.createDataFrame([(b, "no")], "ok long, v string")
+    assert joins.left_join_mixed_keys(left, right, "k", "ok").first().v is None
+    d = spark.createDataFrame([(12.0,), (2.5,), (float("nan"),), (1e300,)], "d double")
+    assert [r[0] for r in d.select(nullable_long("d")).collect()] == [12, None, None, None]
+
+
+def test_not_json_is_rejected_and_the_rest_loads(spark):
+    good = json.dumps({"odt": 1, "orden": 2, "LATI_USU": 1.0, "LONG_USU": -77.0, "PLAN_COMERCIAL": "P", "ZONA": "Z"})
+    path = scratch_path(spark, "bad-lines")
+    spark.createDataFrame([(good,), ("{broken",), ("[1, 2",), ("  ",), ("null",)], "value string").write.text(path)
+    ok, bad = api_json.validate(api_json.read_records(spark, path, json_lines=True), 2024, "t")
+    assert [r.odt for r in ok.collect()] == [1]
+    assert sorted((r.record, r.reason) for r in bad.collect()) == [
+        ("[1, 2", "not JSON"), ("null", "missing required field"), ("{broken", "not JSON")]
+
+
+def test_limit_read_sends_the_query(spark):
+    url = f"jdbc:derby:memory:t{uuid.uuid4().hex[:8]};create=true"
+    jdbc.append(spark.range(0, 500).select(F.col("id").alias("ID")), url, "T")
+    df = jdbc.limit_read(spark, url, "T", "ID", 7)
+    assert sorted(r.ID for r in df.collect()) == list(range(7))
+    assert "TakeOrdered" not in df._jdf.queryExecution().executedPlan().toString()

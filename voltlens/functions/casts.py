@@ -32,17 +32,20 @@ def lenient_double(col) -> Column:
 
 
 def nullable_long(col) -> Column:
-    """text/number -> BIGINT via DOUBLE so that '12.0' works; a fraction gives NULL.
+    """text/number -> BIGINT, exactly; a fraction or an out-of-range value gives NULL.
 
-    ``try_cast('12.0' AS BIGINT)`` is NULL in Spark, hence the detour.
+    Whole numbers go straight to BIGINT. Text such as '12.0' (NULL under
+    ``try_cast`` to BIGINT) goes through DECIMAL(38,18): no double on the way,
+    so ids above 2^53 keep every digit.
     """
-    d = lenient_double(col)
-    return F.when(d == F.floor(d), d.cast("long"))
+    s = F.trim(_c(col).cast("string"))
+    d = s.try_cast("decimal(38,18)")
+    return F.coalesce(s.try_cast("bigint"), F.when(d == F.floor(d), d.try_cast("bigint")))
 
 
 def is_fractional(col) -> Column:
     """True where a numeric text carries a fraction (the reference raises there)."""
-    d = lenient_double(col)
+    d = F.trim(_c(col).cast("string")).try_cast("decimal(38,18)")
     return d.isNotNull() & (d != F.floor(d))
 
 

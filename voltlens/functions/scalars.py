@@ -55,9 +55,9 @@ def fill_default(col, default) -> Column:
     """NULL (and NaN for numbers) -> default, after a cast to text when the
     default is text (D6)."""
     c = _c(col)
-    if isinstance(default, str):
-        return F.coalesce(c.cast("string"), F.lit(default))
-    return F.coalesce(c, F.lit(default))
+    s = c.cast("string")
+    missing = s.isNull() | (s == "NaN")  # a NaN of any numeric type renders so
+    return F.when(missing, F.lit(default)).otherwise(s if isinstance(default, str) else c)
 
 
 def year_of(col) -> Column:

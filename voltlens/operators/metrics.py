@@ -21,10 +21,10 @@ def _by(by):
 
 
 def score_counts(df: DataFrame, label: str, score: str, by=None) -> DataFrame:
-    """(by..., score, pos, neg) with label 1 = positive."""
+    """(by..., score, pos, neg) with label 1 = positive; rows without a score (NULL or NaN) are left out."""
     by = _by(by)
     y = F.col(q(label)).cast("int")
-    return (df.where(F.col(q(score)).isNotNull())
+    return (df.where(F.col(q(score)).isNotNull() & ~F.isnan(F.col(q(score)).cast("double")))
               .groupBy(*by, F.col(q(score)).cast("double").alias("score"))
               .agg(F.sum(F.when(y == 1, 1).otherwise(0)).cast("long").alias("pos"),
                    F.sum(F.when(y == 1, 0).otherwise(1)).cast("long").alias("neg")))
@@ -35,9 +35,8 @@ def curve(df: DataFrame, label: str, score: str, by=None) -> DataFrame:
     precision, recall. All thresholds are kept (no collinear-point pruning)."""
     by = _by(by)
     c = score_counts(df, label, score, by)
-    r = running_sum(c, ["score"], ["pos", "neg"], by=by, descending=True)
-    tot = r.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    r = with_group_values(r, tot, by)
+    r = running_sum(c, ["score"], ["pos", "neg"], by=by, descending=True, totals=True)
+    r = r.withColumnsRenamed({"pos_total": "P", "neg_total": "N"})
     tp, fp = F.col("pos_cum"), F.col("neg_cum")
     return r.select(*by, F.col("score").alias("threshold"), tp.alias("tp"), fp.alias("fp"),
                     F.try_divide(tp, F.col("P")).alias("tpr"), F.try_divide(fp, F.col("N")).alias("fpr"),
@@ -51,10 +50,11 @@ def auc(df: DataFrame, label: str, score: str, by=None) -> DataFrame:
     c = score_counts(df, label, score, by)
     r = running_sum(c, ["score"], ["neg"], by=by)  # ascending, inclusive
     g = by
-    below = F.col("neg_cum") - F.col("neg")
+    below = (F.col("neg_cum") - F.col("neg")).cast("double")
     a = r.groupBy(*g).agg(F.sum(F.col("pos") * (below + F.col("neg") * 0.5)).alias("_s"),
                           F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return a.select(*by, F.try_divide(F.col("_s"), F.col("P") * F.col("N")).alias("auc"),
+    # counts are multiplied as doubles: P * N of a few billion each exceeds BIGINT
+    return a.select(*by, F.try_divide(F.col("_s"), F.col("P").cast("double") * F.col("N")).alias("auc"),
                     F.col("P").alias("positives"), F.col("N").alias("negatives"))
 
 

@@ -1,26 +1,27 @@
 """Running totals and ranks along an ordered key without an un-partitioned window.
 
 A window with no PARTITION BY (or partitioned by a key that may hold a third
-of the rows) funnels everything through one task. Here the order key is cut
-into ranges at approximate quantiles (a few numbers collected to the driver),
-each range is summed, the range offsets come from a window over the small
-per-range table, and the running total is finished by a window partitioned by
-(group, range). Each task then holds at most about ``bucket_rows`` rows.
+of the rows) funnels everything through one task. Here the rows are dealt into
+ranges of the order key by Spark's range partitioning (bounds from a sample of
+the rows, any sortable type), written once with their range number, and every
+range is summed. The range offsets come from a window over that small table
+(groups x ranges rows) and the running total is finished by a window
+partitioned by (group, range). There are as many ranges as shuffle partitions,
+whatever the size of the input, and one code path for every size.
 
 Callers pass rows that are unique on (group, order key): aggregate ties first
-(counts per distinct score), which also removes hot keys.
+(counts per distinct score), which also removes hot keys. Order values sort as
+Spark sorts them: NaN is the largest number; NULL comes last in either direction.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _BUCKET = "_vl_bucket"
-_ORDER = "_vl_order"
+#: A table of at most this many rows may be broadcast.
+BROADCAST_ROWS = 200_000
 
 
 def _as_list(x):
@@ -29,117 +30,92 @@ def _as_list(x):
     return [x] if isinstance(x, str) else list(x)
 
 
-def range_buckets(df: DataFrame, order: Column, n_rows: int, bucket_rows: int) -> DataFrame:
-    """Add ``_vl_bucket``: a range id monotone in ``order`` (double)."""
-    n_buckets = max(1, math.ceil(n_rows / max(1, bucket_rows)))
-    df = df.withColumn(_ORDER, order.cast("double"))
-    if n_buckets == 1:
-        return df.withColumn(_BUCKET, F.lit(0.0))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    accuracy = max(10000, 20 * n_buckets)
-    cuts = df.agg(F.percentile_approx(_ORDER, probs, accuracy).alias("q")).first()["q"]
-    splits = sorted({float(c) for c in cuts if c is not None and not math.isnan(c)})
-    splits = [-math.inf] + splits + [math.inf]
-    return Bucketizer(splits=splits, inputCol=_ORDER, outputCol=_BUCKET,
-                      handleInvalid="keep").transform(df)
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and continue from the
+    files: later passes read them instead of recomputing the plan below, and
+    lineage is cut for recovery."""
+    from voltlens.session import scratch_path
+
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_checked(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``small`` written once and, if it has at most ``max_rows`` rows, hinted
+    for a broadcast; larger tables join by shuffle, where adaptive execution
+    splits skewed partitions."""
+    kept = materialize(small)
+    return F.broadcast(kept) if kept.count() <= max_rows else kept
 
 
 def with_group_values(df: DataFrame, small: DataFrame, by) -> DataFrame:
     """Attach per-group values (totals, cut points) to every row.
 
-    With group keys this is an equi-join; for a global value (no keys) the
-    single aggregate row is read on the driver and added as literals, so no
-    join without keys (and no nested-loop join) is planned."""
+    With group keys this is an equi-join with a side of checked size, so rows of
+    a large group are not moved; for a global value (no keys) the single
+    aggregate row is read on the driver and added as literals, so no join
+    without keys (and no nested-loop join) is planned."""
     by = _as_list(by)
     if by:
-        return df.join(small, on=by, how="inner")
+        return df.join(broadcast_checked(small), on=by, how="inner")
     row = small.first()
     vals = {c: F.lit(None if row is None else row[c]).cast(small.schema[c].dataType)
             for c in small.columns}
     return df.withColumns(vals)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and continue from the
-    files: later passes (count, cut points, the sums) read it instead of
-    recomputing the aggregation below, and lineage is cut for recovery."""
-    from voltlens.session import checkpoint_dir
-
-    checkpoint_dir(df.sparkSession)
-    cached = df.persist()
-    out = cached.checkpoint()
-    cached.unpersist()
-    return out
-
-
 def running_sum(df: DataFrame, order_cols, sum_cols, by=None, descending: bool = False,
-                bucket_rows: int = 250_000, n_rows: int | None = None,
-                suffix: str = "_cum") -> DataFrame:
+                ranges: int | None = None, suffix: str = "_cum", totals: bool = False) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` along ``order_cols`` inside ``by``.
 
-    ``order_cols[0]`` must be numeric (it drives the ranges); further order
-    columns break ties. Adds ``<c><suffix>`` for every summed column.
+    Adds ``<c><suffix>`` for every summed column and, with ``totals``, the
+    group's sum as ``<c>_total``. ``ranges``: number of ranges (default: the
+    session's shuffle partitions); it never changes the result.
     """
-    order_cols = _as_list(order_cols)
-    sum_cols = _as_list(sum_cols)
-    by = _as_list(by)
-    lead = F.col(order_cols[0])
-    if n_rows is None:
-        df = materialize(df)
-        n_rows = df.count()
-    sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
-    if n_rows <= bucket_rows:
-        # one range: a window per group is already bounded by ``bucket_rows``
-        w = Window.partitionBy(*by).orderBy(*sort).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select("*", *[F.sum(c).over(w).alias(f"{c}{suffix}") for c in sum_cols])
-    b = range_buckets(df, -lead if descending else lead, n_rows, bucket_rows)
-
-    # per-range totals -> exclusive offsets per (group, range); small table
-    tot = b.groupBy(*by, _BUCKET).agg(*[F.sum(c).alias(c) for c in sum_cols])
-    w_off = Window.partitionBy(*by).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(*by, _BUCKET, *[F.coalesce(F.sum(c).over(w_off), F.lit(0)).alias(f"_off_{c}")
-                                     for c in sum_cols])
-    b = b.join(off, on=[*by, _BUCKET], how="left")
-
-    w = Window.partitionBy(*by, _BUCKET).orderBy(*sort).rowsBetween(Window.unboundedPreceding, 0)
-    out = b.select("*", *[(F.sum(c).over(w) + F.col(f"_off_{c}")).alias(f"{c}{suffix}")
-                          for c in sum_cols])
-    return out.drop(_BUCKET, _ORDER, *[f"_off_{c}" for c in sum_cols])
+    order_cols, sum_cols, by = _as_list(order_cols), _as_list(sum_cols), _as_list(by)
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sort = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last() for c in order_cols]
+    # the groups' columns follow the order key, so many groups at one value are cut as well
+    dealt = materialize(df.repartitionByRange(n, *sort, *[F.col(c).asc() for c in by])
+                          .withColumn(_BUCKET, F.spark_partition_id()))
+
+    tot = dealt.groupBy(*by, _BUCKET).agg(*[F.sum(c).alias(c) for c in sum_cols])
+    group = Window.partitionBy(*[F.col(c) for c in by]) if by else Window.partitionBy(F.lit(0))
+    before = group.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    keys = [F.col(c).alias(f"_vl_g{i}") for i, c in enumerate(by)]
+    off = tot.select(*keys, F.col(_BUCKET).alias("_vl_b"),
+                     *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols],
+                     *([F.sum(c).over(group).alias(f"{c}_total") for c in sum_cols] if totals else []))
+    cond = F.col(_BUCKET) == F.col("_vl_b")
+    for i, c in enumerate(by):
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_vl_g{i}"))
+    joined = dealt.join(off, cond, "inner")
+
+    w = (Window.partitionBy(*[F.col(c) for c in by], F.col(_BUCKET)).orderBy(*sort)
+               .rowsBetween(Window.unboundedPreceding, 0))
+    out = joined.select("*", *[(F.sum(c).over(w) + F.col(f"_off_{c}")).alias(f"{c}{suffix}") for c in sum_cols])
+    return out.drop(_BUCKET, "_vl_b", *[f"_vl_g{i}" for i in range(len(by))], *[f"_off_{c}" for c in sum_cols])
 
 
 def row_rank(df: DataFrame, order_cols, by=None, descending: bool = False,
-             name: str = "rank", bucket_rows: int = 250_000, n_rows: int | None = None) -> DataFrame:
-    """1-based position along ``order_cols`` inside ``by`` (a scalable row_number)."""
+             name: str = "rank", ranges: int | None = None, size_name: str | None = None) -> DataFrame:
+    """1-based position along ``order_cols`` inside ``by`` (a scalable
+    row_number); with ``size_name`` also the group's number of rows."""
     one = "_vl_one"
     out = running_sum(df.withColumn(one, F.lit(1).cast("long")), order_cols, [one], by=by,
-                      descending=descending, bucket_rows=bucket_rows, n_rows=n_rows)
-    return out.withColumnRenamed(f"{one}_cum", name).drop(one)
+                      descending=descending, ranges=ranges, totals=bool(size_name))
+    out = out.withColumnRenamed(f"{one}_cum", name).drop(one)
+    return out.withColumnRenamed(f"{one}_total", size_name) if size_name else out
 
 
 def dense_codes(df: DataFrame, value_col: str, by=None, name: str = "code",
-                bucket_rows: int = 250_000) -> DataFrame:
+                ranges: int | None = None) -> DataFrame:
     """Dictionary of distinct non-null values -> 0..n-1 in sorted order, per ``by``.
 
-    Returns ``(by..., value_col, name)``. Text values are ordered by a numeric
-    prefix key (first 8 bytes) for the ranges, then exactly inside a range.
-    """
+    Returns ``(by..., value_col, name)``. Text sorts by its UTF-8 bytes; the
+    ranges are cut on the whole value."""
     by = _as_list(by)
     d = df.select(*by, value_col).where(F.col(value_col).isNotNull()).distinct()
-    key = _numeric_sort_key(d, value_col)
-    d = d.withColumn("_vl_key", key)
-    r = row_rank(d, ["_vl_key", value_col], by=by, name=name, bucket_rows=bucket_rows)
+    r = row_rank(d, [value_col], by=by, name=name, ranges=ranges)
     return r.select(*by, value_col, (F.col(name) - 1).alias(name))
-
-
-def _numeric_sort_key(df: DataFrame, col: str) -> Column:
-    """A double that never decreases as ``col`` increases (ties allowed)."""
-    from pyspark.sql.types import NumericType
-
-    dtype = df.schema[col].dataType
-    if isinstance(dtype, NumericType):
-        return F.col(col).cast("double")
-    # text: first 6 bytes of the UTF-8 encoding read as a base-256 number (exact
-    # in a double); Spark orders strings by their UTF-8 bytes, so this is monotone
-    raw = F.encode(F.col(col).cast("string"), "UTF-8")
-    hexs = F.rpad(F.hex(F.substring(raw, 1, 6)), 12, "0")
-    return F.conv(hexs, 16, 10).cast("double")

@@ -65,9 +65,7 @@ def value_ranks(df: DataFrame, col: str, by=None) -> DataFrame:
     by = _by(by)
     c = (df.where(F.col(q(col)).isNotNull() & ~F.isnan(F.col(q(col)).cast("double")))
            .groupBy(*by, F.col(q(col)).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("cnt")))
-    c = running_sum(c, ["v"], ["cnt"], by=by)
-    n = c.groupBy(*by).agg(F.sum("cnt").alias("n"))
-    return with_group_values(c, n, by)
+    return running_sum(c, ["v"], ["cnt"], by=by, totals=True).withColumnRenamed("cnt_total", "n")
 
 
 def exact_quantiles(df: DataFrame, col: str, probs, by=None, names=None) -> DataFrame:

@@ -28,12 +28,10 @@ def c3_merge_and_clean(spark, sf_dir):
     return P.merge_and_clean(A.anomalies(spark, sf_dir), A.users(spark, sf_dir), A.severity(spark, sf_dir))
 
 
-# anomalies of one year only, so that the right join keeps users without any
-C4_YEAR = 1996
-_C4_SELECT = f"""
+_C4_SELECT = """
 SELECT DISTINCT a."Orden", a."Usuario", a."Ejecucion", a."Codigo_x" AS "Codigo", a."Descripcion",
        a."Motivo", a."kWh_Rec", s.id, s."Nombre", s.puntaje, u.*
-FROM (SELECT * FROM codes_x WHERE year("Ejecucion") = {C4_YEAR}) a
+FROM codes_x a
 LEFT JOIN severity s ON a."Codigo_x" = s."Item"
 RIGHT JOIN users u ON a."Usuario" = u."PRODUCTO"
 WHERE u."ZONA" IS NOT NULL
@@ -42,8 +40,7 @@ WHERE u."ZONA" IS NOT NULL
 
 @register("c4_inference_dataset", V(_C4_SELECT, "severity", "users"))
 def c4_inference_dataset(spark, sf_dir):
-    an = A.anomalies(spark, sf_dir).where(F.year("Ejecucion") == C4_YEAR)
-    return P.inference_dataset(an, A.users(spark, sf_dir), A.severity(spark, sf_dir))
+    return P.inference_dataset(A.anomalies(spark, sf_dir), A.users(spark, sf_dir), A.severity(spark, sf_dir))
 
 
 # ----------------------------------------------------------------------------- C1

@@ -165,6 +165,35 @@ def f6_fill_default(spark, sf_dir):
                     S.fill_default("LATI_USU", 0.0).alias("lat"))
 
 
+@register("f6_fill_default_nan", """
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN l_orderkey % 3 = 0 OR l_orderkey % 5 = 0 THEN 0.0 ELSE l_quantity END AS num,
+       CASE WHEN l_orderkey % 3 = 0 OR l_orderkey % 5 = 0 THEN 'NO INDICA' ELSE 'x' END AS txt
+FROM lineitem""")
+def f6_fill_default_nan(spark, sf_dir):
+    """NaN counts as missing, like NULL, for a number and for a text default."""
+    k = F.col("l_orderkey")
+    q = (F.when(k % 3 == 0, F.lit(float("nan"))).when(k % 5 == 0, F.lit(None).cast("double"))
+          .otherwise(F.col("l_quantity").cast("double")))
+    txt = S.fill_default(q, "NO INDICA")
+    return A.read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", S.fill_default(q, 0.0).alias("num"),
+        F.when(txt == "NO INDICA", txt).otherwise("x").alias("txt"))
+
+
+@register("f10_large_ids", """
+SELECT o_orderkey, CAST(9007199254740992 + o_orderkey AS BIGINT) AS from_text,
+       CAST(9007199254740992 + o_orderkey AS BIGINT) AS from_decimal_text,
+       CAST(9007199254740992 + o_orderkey AS BIGINT) AS from_long FROM orders""")
+def f10_large_ids(spark, sf_dir):
+    """Ids above 2^53 keep every digit."""
+    big = F.lit(9007199254740992) + F.col("o_orderkey")
+    return A.read(spark, sf_dir, "orders").select(
+        "o_orderkey", C.nullable_long(big.cast("string")).alias("from_text"),
+        C.nullable_long(F.concat(big.cast("string"), F.lit(".0"))).alias("from_decimal_text"),
+        C.nullable_long(big).alias("from_long"))
+
+
 @register("f7_parse_bool", """
 SELECT o_orderkey, CASE WHEN upper(trim(t)) IN ('TRUE', 'SI') THEN true
                         WHEN upper(trim(t)) IN ('FALSE', 'NO') THEN false END AS flag
@@ -362,11 +391,14 @@ def u1_union_all(spark, sf_dir):
 
 
 @register("u2_array_columns", """
-SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS e0, CAST(embedding[2] AS DOUBLE) AS e1, CAST(embedding[3] AS DOUBLE) AS e2
+SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos,
+       CAST(unnest(embedding) AS DOUBLE) AS value
 FROM embeddings""")
 def u2_array_columns(spark, sf_dir):
+    """Every element of the vectors, one row each."""
     e = A.read(spark, sf_dir, "embeddings")
-    return e.select("vec_id", *[F.col("embedding").getItem(i).cast("double").alias(f"e{i}") for i in range(3)])
+    return e.select("vec_id", F.posexplode("embedding").alias("pos", "v")).select(
+        "vec_id", "pos", F.col("v").cast("double").alias("value"))
 
 
 @register("x6_reconciliation", V("""

@@ -49,17 +49,23 @@ SELECT l_orderkey, l_linenumber, l_quantity,
        row_number() OVER () AS pos FROM lineitem""")
 def s3_table_scan(spark, sf_dir):
     li = files.read_table(spark, f"{sf_dir}/lineitem.parquet", ordinal="_ord")
-    # the ordinal is the row's position in the file: rank it to a plain number
+    # the ordinal is (file, row in the file): rank it to a plain number
     from voltlens.operators.prefix import row_rank
-    r = li.select("l_orderkey", "l_linenumber", "l_quantity", F.col("_ord.row_index").alias("_ri"))
-    return row_rank(r, ["_ri"], name="pos").drop("_ri")
+    r = li.select("l_orderkey", "l_linenumber", "l_quantity", F.col("_ord.file_path").alias("_file"),
+                  F.col("_ord.row_index").alias("_row"))
+    return row_rank(r, ["_file", "_row"], name="pos").drop("_file", "_row")
 
 
-@register("s4_optional_source", V("SELECT * FROM users", "users"))
+@register("s4_optional_source", """
+SELECT o_orderkey, c_name, CAST(NULL AS VARCHAR) AS note FROM orders LEFT JOIN customer ON o_custkey = c_custkey""")
 def s4_optional_source(spark, sf_dir):
-    missing = files.optional_source(spark, f"{sf_dir}/no_such_table.parquet")
-    assert missing is None
-    return A.users(spark, sf_dir)
+    """A present optional input joins; a missing one leaves its column empty."""
+    out = A.read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    present = files.optional_source(spark, f"{sf_dir}/customer.parquet")
+    out = out.join(present.select(F.col("c_custkey").alias("o_custkey"), "c_name"), "o_custkey", "left")
+    notes = files.optional_source(spark, f"{sf_dir}/no_such_table.parquet")
+    out = out.withColumn("note", F.lit(None).cast("string")) if notes is None else out.join(notes, "o_custkey", "left")
+    return out.drop("o_custkey")
 
 
 # ----------------------------------------------------------------------------- API ingest
@@ -110,6 +116,43 @@ def p17_record_rejects(spark, sf_dir):
     return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("s5_json_documents", """
+SELECT CAST(count(*) FILTER (WHERE event_type NOT IN ('view', 'error', 'click')) AS BIGINT) AS accepted,
+       CAST(count(*) FILTER (WHERE event_type IN ('view', 'error', 'click')) AS BIGINT) AS rejected,
+       CAST(sum(event_id) FILTER (WHERE event_type NOT IN ('view', 'error', 'click')) AS BIGINT) AS odt_sum,
+       CAST(1 AS BIGINT) AS not_json
+FROM events""")
+def s5_json_documents(spark, sf_dir):
+    """The document layout: every landed file is one JSON object holding an array of
+    records; one document is broken and is rejected as a whole."""
+    from voltlens.sources import api_json
+    lines = spark.read.text(_land_api(spark, sf_dir))
+    n_docs = 1 + lines.count() // 500  # documents of about 500 records
+    docs = lines.groupBy(F.pmod(F.xxhash64("value"), F.lit(n_docs)).alias("doc")).agg(
+        F.concat(F.lit('{"anomalias": ['), F.array_join(F.collect_list("value"), ", "), F.lit("]}")).alias("value"))
+    broken = lines.limit(1).select(F.lit(-1).cast("long").alias("doc"), F.lit('{"anomalias": [{"odt": 1').alias("value"))
+    path = scratch_path(spark, "api-documents")
+    docs.union(broken).repartition("doc").write.partitionBy("doc").text(path)  # one document a file
+    ok, bad = api_json.validate(api_json.read_records(spark, path), 2024, RUN_TS)
+    a = ok.agg(F.count(F.lit(1)).alias("accepted"), F.sum("odt").alias("odt_sum")).first()
+    return bad.agg(F.count(F.when(F.col("reason") != "not JSON", 1)).alias("rejected"),
+                   F.count(F.when(F.col("reason") == "not JSON", 1)).alias("not_json")).select(
+        F.lit(a.accepted).cast("long").alias("accepted"), "rejected", F.lit(a.odt_sum).alias("odt_sum"), "not_json")
+
+
+@register("c9_bad_lines", _API_SQL)
+def c9_bad_lines(spark, sf_dir):
+    """Malformed lines are rejected with their text and do not end the load."""
+    from voltlens.plans.jobs import api_load_job
+    path = _land_api(spark, sf_dir)
+    spark.read.text(path).select(F.substring("value", 1, 9).alias("value")).write.mode("append").text(path + "-bad")
+    spark.read.text(path + "-bad").write.mode("append").text(path)
+    ok, bad = api_load_job(spark, path, 2024, RUN_TS, json_lines=True)
+    assert bad.where("reason = 'not JSON'").limit(1).count() == 1
+    return ok.select("odt", "orden", "LATI_USU", "LONG_USU", "NIVEL", "PLAN_COMERCIAL", "ZONA", "item_288",
+                     "item_23", "Anomalia_conf", "año")
+
+
 @register("st_api_stream", _API_SQL)
 def st_api_stream(spark, sf_dir):
     from voltlens.streaming import api_stream
@@ -121,16 +164,23 @@ def st_api_stream(spark, sf_dir):
                                            "ZONA", "item_288", "item_23", "Anomalia_conf", "año")
 
 
-@register("s18_record_generator", """
-SELECT CAST(count(*) AS BIGINT) AS n, true AS odt_ok, true AS lat_ok, CAST(5 AS BIGINT) AS zones FROM orders""")
+def _gen_sql():
+    p = 1000003
+    part = lambda i: f"(((o_orderkey % {p}) * {7919 + 2 * (42 + i)} + {(42 + i) * 104729}) % {p})"
+    below = lambda n, i: f"CAST(floor({part(i)} * {n} / {p}.0) AS BIGINT)"
+    from voltlens.sources.api_json import GEN_ZONES
+    zones = "[" + ", ".join(f"'{z}'" for z in GEN_ZONES) + "]"
+    return (f'SELECT {below(90000, 0)} + 10000 AS odt, {below(900000, 1)} + 100000 AS orden, '
+            f'{part(2)} * 2 / {p}.0::DOUBLE + 1 AS "LATI_USU", {part(3)} * 2 / {p}.0::DOUBLE - 78 AS "LONG_USU", '
+            f'{zones}[{below(5, 5)} + 1] AS "ZONA", {below(9000, 8)} + 1000 AS item_288, '
+            f'{below(2, 9)} = 0 AS item_68 FROM orders')
+
+
+@register("s18_record_generator", _gen_sql())
 def s18_record_generator(spark, sf_dir):
     from voltlens.sources.api_json import generate_records
-    n = A.read(spark, sf_dir, "orders").count()
-    g = generate_records(spark, n, seed=42)
-    return g.agg(F.count(F.lit(1)).alias("n"),
-                 F.min((F.col("odt") >= 10000) & (F.col("odt") <= 99999)).alias("odt_ok"),
-                 F.min((F.col("LATI_USU") >= 1) & (F.col("LATI_USU") <= 3)).alias("lat_ok"),
-                 F.count_distinct("ZONA").alias("zones"))
+    g = generate_records(A.read(spark, sf_dir, "orders"), "o_orderkey")
+    return g.select("odt", "orden", "LATI_USU", "LONG_USU", "ZONA", "item_288", "item_68")
 
 
 # ----------------------------------------------------------------------------- JDBC
@@ -305,6 +355,13 @@ def c6_scoring_job(spark, sf_dir):
     return sheet
 
 
+# The sink's defaults, written out for the SQL twin: items that become NOAPL, NO INDICA, NO.
+_C8_DEFAULTS = {**{f"item_{i}": "'NOAPL'" for i in (597, 598, 599, 601, 602, 603)},
+                **{f"item_{i}": "'NO INDICA'" for i in (33, 35, 43, 108, 248)},
+                **{f"item_{i}": "'NO'" for i in (23, 24)}, **{f"item_{i}": "false" for i in (68, 74, 237)},
+                "reincidente": "'NO'", "Anomalia_conf": "'Anomalia'", "NIVEL": "0.0"}
+
+
 def _c8_sql():
     from voltlens.plans.jobs import ANOMALIA_SCHEMA
     from voltlens.plans.q_clean import _C2_SQL, CLEAN_KEEP_PRESENT
@@ -315,14 +372,15 @@ def _c8_sql():
                         "CAST(item_288 AS VARCHAR))), 1, 32) AS id")
         elif f.name == "fecha_creacion":
             cols.append(f"'{RUN_TS}' AS fecha_creacion")
-        elif f.name in CLEAN_KEEP_PRESENT:
-            cols.append(f'"{f.name}"')
         else:
             t = {"StringType()": "VARCHAR", "BooleanType()": "BOOLEAN", "DoubleType()": "DOUBLE",
                  "LongType()": "BIGINT"}[repr(f.dataType)]
-            cols.append(f'CAST(NULL AS {t}) AS "{f.name}"')
+            got = f'"{f.name}"' if f.name in CLEAN_KEEP_PRESENT else "NULL"
+            cols.append(f'CAST(COALESCE({got}, {_C8_DEFAULTS.get(f.name, "NULL")}) AS {t}) AS "{f.name}"')
     body = _C2_SQL.strip()
-    return V("WITH c2 AS (" + body + ")\nSELECT " + ", ".join(cols) + " FROM c2",
+    required = " AND ".join(f'"{c}" IS NOT NULL' for c in ("item_288", "odt", "orden", "PLAN_COMERCIAL", "ZONA", "año",
+                                                            "LATI_USU", "LONG_USU"))
+    return V("WITH c2 AS (" + body + "), c8 AS (SELECT " + ", ".join(cols) + f" FROM c2) SELECT * FROM c8 WHERE {required}",
              "anomalies", "users", "plain", "uid_conversion")
 
 

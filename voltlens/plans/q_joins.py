@@ -55,6 +55,18 @@ def j3_mixed_key_left_join(spark, sf_dir):
     return J.left_join_mixed_keys(left, right, "orden", "o_orderkey").drop("o_orderkey")
 
 
+@register("j3_large_ids", """
+SELECT CAST(9007199254740992 + l_orderkey AS VARCHAR) AS k, l_linenumber, o_orderstatus
+FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey""")
+def j3_large_ids(spark, sf_dir):
+    """Neighbouring ids above 2^53 do not meet."""
+    big = 9007199254740992
+    left = A.read(spark, sf_dir, "lineitem").select(
+        (F.lit(big) + F.col("l_orderkey")).cast("string").alias("k"), "l_linenumber")
+    right = A.read(spark, sf_dir, "orders").select((F.lit(big) + F.col("o_orderkey")).alias("ok"), "o_orderstatus")
+    return J.left_join_mixed_keys(left, right, "k", "ok").drop("ok")
+
+
 @register("j4_left_join_empty_right", """
 SELECT o_orderkey, CAST(NULL AS VARCHAR) AS "Descripcion" FROM orders""")
 def j4_left_join_empty_right(spark, sf_dir):

@@ -30,25 +30,10 @@ def _init_sql(k):
             f'+ CAST("LONG_USU" AS BIGINT) * 31 + {(k + 1) * 7919}) % 1009 + 1)')
 
 
-# Several catalog entries evaluate the same fitted model; within one running
-# application it is fitted once per input folder (the fitted tables are
-# reliable checkpoints, so they stay valid across jobs).
-_FITTED: dict = {}
-
-
-def _memo(kind, spark, sf_dir, build):
-    key = (kind, spark.sparkContext.applicationId, sf_dir)
-    if key not in _FITTED:
-        _FITTED[key] = build()
-    return _FITTED[key]
-
-
 def _train(spark, sf_dir):
-    def build():
-        users = A.users(spark, sf_dir)
-        prep, model, feats = P.train_zones(users, K=K, m=M, max_iter=ITERS, tol=0.0, init=_init_spark)
-        return users, prep, model, feats
-    return _memo("zones", spark, sf_dir, build)
+    users = A.users(spark, sf_dir)
+    prep, model, feats = P.train_zones(users, K=K, m=M, max_iter=ITERS, tol=0.0, init=_init_spark)
+    return users, prep, model, feats
 
 
 # ----------------------------------------------------------------------------- SQL template
@@ -301,12 +286,10 @@ def _sev_training(spark, sf_dir):
 
 
 def _sev_model(spark, sf_dir):
-    def build():
-        d = _sev_training(spark, sf_dir).checkpoint()
-        train = CL.class_weights(d.where(~F.col("is_test")), "puntaje")
-        model = CL.fit_ovr_gbt(train, "puntaje", SEV_NUM, SEV_CAT, weight_col="weight", **SEV_PARAMS)
-        return d, model
-    return _memo("severity", spark, sf_dir, build)
+    d = _sev_training(spark, sf_dir).checkpoint()
+    train = CL.class_weights(d.where(~F.col("is_test")), "puntaje")
+    model = CL.fit_ovr_gbt(train, "puntaje", SEV_NUM, SEV_CAT, weight_col="weight", **SEV_PARAMS)
+    return d, model
 
 
 @register("m3_gbt_ovr_metrics")
@@ -338,5 +321,5 @@ def m10_random_search(spark, sf_dir):
     d = _sev_training(spark, sf_dir).where(~F.col("is_test"))
     key = (F.col("Orden") * F.lit(2654435761) + F.col("puntaje") * F.lit(40503)) % F.lit(1000003)
     d = CL.stratified_folds(d, "puntaje", key, ["Orden", "Codigo"], k=3)
-    return CL.random_search(d, "puntaje", "fold", SEV_NUM, SEV_CAT, n_trials=2, seed=42,
-                            fixed=dict(max_iter=5, max_depth=3, max_bins=32))
+    return CL.random_search(d, "puntaje", "fold", SEV_NUM, SEV_CAT, n_trials=2, seed=42, max_rounds=6,
+                            max_tree_depth=4)

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voltlens.functions.schema import q
+
 REQUIRED = ["odt", "orden", "LATI_USU", "LONG_USU", "PLAN_COMERCIAL", "ZONA"]
 
 # Defaults applied to absent API fields.
@@ -38,13 +40,23 @@ STRICT = ["LATI_USU", "LONG_USU", "NIVEL", "odt", "orden", "item_288"]
 
 
 def read_records(spark: SparkSession, path: str, json_lines: bool = False, key: str = "anomalias") -> DataFrame:
-    """One row per record as VARIANT ``r``. Files without ``key`` contribute
+    """One row per record: VARIANT ``r`` and its text ``raw``. ``r`` is NULL where the text
+    is not JSON (``validate`` rejects it). Files without ``key`` contribute
     nothing. ``json_lines`` reads one record per line (splittable, the layout
-    to land at scale); otherwise each file is one JSON document."""
+    to land at scale); otherwise each file is one JSON document, and a document
+    that is not JSON becomes one row to reject."""
     if json_lines:
-        return spark.read.text(path).where(F.trim("value") != "").select(F.parse_json("value").alias("r"))
-    raw = spark.read.schema(f"{key} ARRAY<STRING>").option("multiLine", True).json(path)
-    return raw.select(F.explode(key).alias("rec")).select(F.parse_json("rec").alias("r"))
+        return parse_lines(spark.read.text(path))
+    docs = (spark.read.schema(f"{key} ARRAY<STRING>, _vl_bad STRING").option("multiLine", True)
+                 .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_vl_bad").json(path))
+    texts = F.when(F.col("_vl_bad").isNotNull(), F.array("_vl_bad")).otherwise(F.col(key))
+    rows = docs.select(F.explode(texts).alias("raw"), F.col("_vl_bad").isNotNull().alias("bad"))
+    return rows.select(F.when(~F.col("bad"), F.try_parse_json("raw")).alias("r"), "raw")
+
+
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """Text lines (column ``value``) as (r, raw); empty lines are skipped."""
+    return lines.where(F.trim("value") != "").select(F.try_parse_json("value").alias("r"), F.col("value").alias("raw"))
 
 
 def _present(name: str) -> Column:
@@ -70,47 +82,55 @@ def validate(records: DataFrame, run_year: int, run_ts: str) -> tuple[DataFrame,
     cols["año"] = F.when(_present("año"), _value("año", "bigint")).otherwise(F.lit(run_year).cast("bigint"))
     cols["item_288"] = F.when(_present("item_288"), _value("item_288", "bigint")).otherwise(F.lit(0).cast("bigint"))
     cols["fecha_creacion"] = F.lit(run_ts)
-    typed = records.select("r", ok_req.alias("_req"), *[v.alias(k) for k, v in cols.items()])
+    raw = F.col("raw") if "raw" in records.columns else F.lit(None).cast("string")
+    typed = records.select("r", raw.alias("_raw"), ok_req.alias("_req"), *[v.alias(k) for k, v in cols.items()])
     cast_ok = None
     for f in STRICT:
         c = F.col(f).isNotNull()
         cast_ok = c if cast_ok is None else cast_ok & c
-    reason = F.when(~F.col("_req"), F.lit("missing required field")).when(~cast_ok, F.lit("value does not cast"))
+    reason = (F.when(F.col("r").isNull(), F.lit("not JSON")).when(~F.col("_req"), F.lit("missing required field"))
+               .when(~cast_ok, F.lit("value does not cast")))
     typed = typed.withColumn("_reason", reason)
-    accepted = typed.where(F.col("_reason").isNull()).drop("r", "_req", "_reason")
-    rejected = typed.where(F.col("_reason").isNotNull()).select(F.to_json("r").alias("record"),
+    accepted = typed.where(F.col("_reason").isNull()).drop("r", "_raw", "_req", "_reason")
+    rejected = typed.where(F.col("_reason").isNotNull()).select(F.coalesce("_raw", F.to_json("r")).alias("record"),
                                                                 F.col("_reason").alias("reason"))
     return accepted, rejected
 
 
-def generate_records(spark: SparkSession, n: int, seed: int = 42, partitions: int | None = None) -> DataFrame:
-    """Synthetic API records at any size (``spark.range`` + seeded rand).
+# The generator's pools.
+GEN_ZONES = ["ZONA_NORTE", "ZONA_SUR", "ZONA_ESTE", "ZONA_OESTE", "ZONA_CENTRO"]
+GEN_PLANS = ["PLAN_A", "PLAN_B", "PLAN_C", "PLAN_D"]
+GEN_TEXTS = ["Anomalía en consumo", "Conexión irregular", "Medidor manipulado", "Desconexión no autorizada",
+             "Posible fraude"]
+_PRIME = 1_000_003
 
-    Ranges follow the reference generator: odt 10000-99999, orden
-    100000-999999, latitude 1-3, longitude -78..-76, level 1.0-5.0.
+
+def generate_records(keys: DataFrame, key_col: str, seed: int = 42) -> DataFrame:
+    """One synthetic API record for every row of a table, repeatable from its key.
+
+    A field's position in its range is ``((key mod p) * (7919 + 2 s) + s * 104729) mod p`` over
+    p, where s is the seed plus the field's number. Ranges follow the reference
+    generator: odt 10000-99999, orden 100000-999999, latitude 1-3, longitude -78..-76,
+    level 1.0-5.0.
     """
-    zonas = ["ZONA_NORTE", "ZONA_SUR", "ZONA_ESTE", "ZONA_OESTE", "ZONA_CENTRO"]
-    planes = ["PLAN_A", "PLAN_B", "PLAN_C", "PLAN_D"]
-    descr = ["Anomalía en consumo", "Conexión irregular", "Medidor manipulado", "Desconexión no autorizada",
-             "Posible fraude"]
-    r = spark.range(0, n, numPartitions=partitions)
-
-    def pick(values, s):
-        return F.element_at(F.array(*[F.lit(v) for v in values]),
-                            (F.floor(F.rand(seed + s) * len(values)) + 1).cast("int"))
-
-    return r.select(
-        (F.floor(F.rand(seed) * 90000) + 10000).cast("long").alias("odt"),
-        (F.floor(F.rand(seed + 1) * 900000) + 100000).cast("long").alias("orden"),
-        F.round(F.rand(seed + 2) * 2 + 1, 6).alias("LATI_USU"),
-        F.round(F.rand(seed + 3) * 2 - 78, 6).alias("LONG_USU"),
-        F.round(F.rand(seed + 4) * 4 + 1, 1).alias("NIVEL"),
-        pick(zonas, 5).alias("ZONA"), pick(planes, 6).alias("PLAN_COMERCIAL"), pick(descr, 7).alias("Descripcion"),
-        (F.floor(F.rand(seed + 8) * 9000) + 1000).cast("long").alias("item_288"),
-        (F.rand(seed + 9) < 0.5).alias("item_68"), (F.rand(seed + 10) < 0.5).alias("item_74"),
-        (F.rand(seed + 11) < 0.5).alias("item_237"),
-        F.when(F.rand(seed + 12) < 0.5, "SI").otherwise("NO").alias("item_23"),
-        F.when(F.rand(seed + 13) < 0.5, "SI").otherwise("NO").alias("item_24"),
+    def part(i):
+        s = seed + i
+        return F.pmod(F.pmod(F.col(q(key_col)).cast("long"), F.lit(_PRIME)) * (7919 + 2 * s) + s * 104729, F.lit(_PRIME))
+
+    def below(n, i):
+        return F.floor(part(i) * n / _PRIME)
+
+    def pick(values, i):
+        return F.element_at(F.array(*[F.lit(v) for v in values]), (below(len(values), i) + 1).cast("int"))
+
+    return keys.select(
+        (below(90000, 0) + 10000).alias("odt"), (below(900000, 1) + 100000).alias("orden"),
+        (part(2) * 2 / _PRIME + 1).alias("LATI_USU"), (part(3) * 2 / _PRIME - 78).alias("LONG_USU"),
+        F.round(part(4) * 4 / _PRIME + 1, 1).alias("NIVEL"),
+        pick(GEN_ZONES, 5).alias("ZONA"), pick(GEN_PLANS, 6).alias("PLAN_COMERCIAL"),
+        pick(GEN_TEXTS, 7).alias("Descripcion"), (below(9000, 8) + 1000).alias("item_288"),
+        *[(below(2, 9 + i) == 0).alias(f"item_{n}") for i, n in enumerate((68, 74, 237))],
+        *[F.when(below(2, 12 + i) == 0, "SI").otherwise("NO").alias(f"item_{n}") for i, n in enumerate((23, 24))],
     )
 
 

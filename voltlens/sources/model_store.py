@@ -37,13 +37,15 @@ def load_zone_models(spark: SparkSession, path: str):
 
 
 def save_classifier(model, path: str) -> None:
-    """Each per-class tree ensemble with MLlib's writer, plus the encoding."""
+    """Each per-class tree ensemble with MLlib's writer, plus the encoding (the
+    category dictionary as a table)."""
     for i, m in enumerate(model.models):
         m.write().overwrite().save(f"{path}/class_{i}")
     f = model.features
     spark = SparkSession.getActiveSession()
-    meta = {"classes": model.classes, "num_cols": f.num_cols, "cat_cols": f.cat_cols, "max_bins": f.max_bins,
-            "fills": f.fills, "vocab": f.vocab}
+    meta = {"classes": model.classes, "num_cols": f.num_cols, "cat_cols": f.cat_cols, "fills": f.fills}
+    if f.dictionary is not None:
+        f.dictionary.write.mode("overwrite").parquet(f"{path}/dictionary")
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").json(f"{path}/meta")
 
 
@@ -60,6 +62,7 @@ def load_classifier(spark: SparkSession, path: str):
     except Exception as e:  # noqa: BLE001 - absent store
         logging.getLogger(__name__).error("classifier store not readable at %s: %s", path, e)
         return None
-    tf = TreeFeatures(meta["num_cols"], meta["cat_cols"], meta["max_bins"], meta["fills"], meta["vocab"])
+    codes = spark.read.parquet(f"{path}/dictionary") if meta["cat_cols"] else None
+    tf = TreeFeatures(meta["num_cols"], meta["cat_cols"], meta["fills"], codes)
     models = [GBTClassificationModel.load(f"{path}/class_{i}") for i in range(len(meta["classes"]))]
     return OvrModel(meta["classes"], models, tf)

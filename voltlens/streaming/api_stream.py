@@ -16,7 +16,7 @@ def start(spark: SparkSession, landing: str, sink: str, checkpoint: str, run_yea
           reject_sink: str | None = None, available_now: bool = True, max_files_per_trigger: int = 1000):
     stream = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger)
               .load(landing))
-    rec = stream.where(F.trim("value") != "").select(F.parse_json("value").alias("r"))
+    rec = api_json.parse_lines(stream)
 
     def batch(df: DataFrame, epoch: int) -> None:
         ok, bad = api_json.validate(df, run_year, run_ts)
