@@ -112,3 +112,34 @@ def test_salted_group_sizes_equal_plain(spark):
     a = sorted((r.v, r.k, r._vl_n) for r in dedupe.group_sizes(df, ["k"]).collect())
     b = sorted((r.v, r.k, r._vl_n) for r in dedupe.group_sizes(df, ["k"], salt=7).collect())
     assert a == b and {r[2] for r in a} == {100, 200}
+
+
+def test_declared_items_are_the_default(spark):
+    """Without a map, process_data widens the 47 declared items with their declared types."""
+    from voltlens.plans import pipelines as P
+
+    assert len(P.ITEM_TYPES) == 47
+    plain = spark.createDataFrame([(10, 1, "PACIFICO", 0), (10, 288, "501", 1), (10, 33, "7.5", 2), (10, 237, "TRUE", 3),
+                                   (10, 33, "9", 4)], "odt long, id int, value string, _ord long")
+    users = spark.createDataFrame([(501, "U", "P", 1.0, 1.5, -77.0, "Z")], "PRODUCTO long, AREA string, PLAN_COMERCIAL string, "
+                                  "NIVEL double, LATI_USU double, LONG_USU double, ZONA string")
+    uid = spark.createDataFrame([(10, 99)], "uid long, orden long")
+    an = spark.createDataFrame([(99, "x", 2023)], "Orden long, Descripcion string, `año` long")
+    out = P.process_data(an, users, plain, uid, 2023)
+    types = dict(out.dtypes)
+    assert all(types[f"item_{i}"] == t for i, t in P.ITEM_TYPES.items())
+    row = out.first()
+    assert row["item_33"] == 7.5 and row["item_237"] == "TRUE" and row["item_1442"] is None
+
+
+def test_null_keys_on_both_sides_are_refused(spark):
+    import pytest
+
+    from voltlens.operators.joins import join_renamed
+
+    a = spark.createDataFrame([(None,), (None,), (1,)], "a long")
+    b = spark.createDataFrame([(None, "x"), (1, "y")], "b long, v string")
+    out = join_renamed(a, b, "a", "b", "left", null_keys_match=True)
+    assert sorted(r.v for r in out.collect()) == ["x", "x", "y"]
+    with pytest.raises(ValueError):
+        join_renamed(a, b.union(b), "a", "b", "left", null_keys_match=True)

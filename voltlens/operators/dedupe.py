@@ -1,10 +1,12 @@
 """Duplicates: distinct, keep-first, counts and flags.
 
 Keep-first is an aggregation (``min`` of a struct led by the ingest ordinal)
-rather than ``row_number`` over a window: the hash aggregate combines rows
-map-side, so a key that holds a third of the table never lands whole in one
-task. Group sizes are a ``count`` joined back; adaptive execution splits a
-skewed join partition.
+rather than ``row_number`` over a window: rows are combined map-side, so a key
+that holds a third of the table never lands whole in one task. A struct has no
+fixed-width buffer, so Spark sorts by the keys on both sides of the shuffle
+(sort aggregate). Group sizes are a ``count`` joined back; adaptive execution
+splits a skewed join partition, and NULL keys of a single column are counted
+apart, without a join.
 """
 
 from __future__ import annotations
@@ -60,6 +62,14 @@ def group_sizes(df: DataFrame, keys, name: str = "_vl_n", null_keys_equal: bool
         cond = [big[q(k)].eqNullSafe(F.col(f"_vl_k_{i}")) if null_keys_equal else big[q(k)] == F.col(f"_vl_k_{i}")
                 for i, k in enumerate(keys)] + [big[s] == renamed[s]]
         return big.join(renamed, on=cond, how="left").drop(s, *[f"_vl_k_{i}" for i in range(len(keys))])
+    if null_keys_equal and len(keys) == 1:
+        # the NULL group is one number: it needs no join, so it is no hot key
+        k = q(keys[0])
+        nulls = df.where(F.col(k).isNull()).count()
+        known = counts.where(F.col(k).isNotNull()).withColumnsRenamed({keys[0]: "_vl_k_0", name: "_vl_known"})
+        out = df.join(known, F.col(k) == F.col("_vl_k_0"), "left")
+        size = F.when(F.col(k).isNull(), F.lit(nulls).cast("long")).otherwise(F.col("_vl_known"))
+        return out.withColumn(name, size).drop("_vl_k_0", "_vl_known")
     if null_keys_equal:
         renamed = counts.withColumnsRenamed({k: f"_vl_k_{i}" for i, k in enumerate(keys)})
         cond = [df[q(k)].eqNullSafe(F.col(f"_vl_k_{i}")) for i, k in enumerate(keys)]

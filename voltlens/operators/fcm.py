@@ -82,6 +82,8 @@ class FcmModel:
     m: float
     centres: dict          # zone -> list of K lists of d floats, sorted
     iterations: int
+    converged: bool | None = None   # the last centre move was below the tolerance
+    shift: float = math.inf         # the largest move of a centre coordinate in the last update
 
     def centres_df(self, spark: SparkSession, prefix: str = "c") -> DataFrame:
         """One row per zone with columns ``c{k}_{j}``: a table whose size is
@@ -125,7 +127,8 @@ def fit(feats: DataFrame, zone_col: str, d: int, K: int = 3, m: float = 2.0, max
     """K7: fit all zones at once on ``feats`` (zone, f0..f{d-1}), rows already
     distinct per zone (D11). ``init`` gives K positive weight expressions
     (default: seeded hash of the features). Stops when the largest centre move
-    is below ``tol`` or after ``max_iter`` centre updates."""
+    is below ``tol`` or after ``max_iter`` centre updates; the model says which
+    (``converged``) and how far the centres moved last (``shift``)."""
     fcols = [f"{x}{j}" for j in range(d)]
     w = init or default_init(K, seed, fcols)
     # one cached pass over the features: the start weights ride along, so the
@@ -136,7 +139,7 @@ def fit(feats: DataFrame, zone_col: str, d: int, K: int = 3, m: float = 2.0, max
         tot = F.col(f"_w{k}") if tot is None else tot + F.col(f"_w{k}")
     u0 = base.select(zone_col, *fcols, *[(F.col(f"_w{k}") / tot).alias(f"u{k}") for k in range(K)])
     centres = _collect_centres(u0.groupBy(zone_col).agg(*centre_aggs(K, d, m, x)), zone_col, K, d)
-    it = 1
+    it, shift, converged = 1, math.inf, False
     while it < max_iter:
         model = FcmModel(zone_col, K, d, m, centres, it)
         j = add_memberships(_attach_model(base.select(zone_col, *fcols), model), K, d, m, x)
@@ -146,10 +149,11 @@ def fit(feats: DataFrame, zone_col: str, d: int, K: int = 3, m: float = 2.0, max
                      for a, b in zip(ca, cb)), default=0.0)
         centres = new
         if shift < tol:
+            converged = True
             break
     base.unpersist()
     sorted_centres = {z: sorted(cs) for z, cs in centres.items()}
-    return FcmModel(zone_col, K, d, m, sorted_centres, it)
+    return FcmModel(zone_col, K, d, m, sorted_centres, it, converged, shift)
 
 
 def _collect_centres(agg: DataFrame, zone_col: str, K: int, d: int) -> dict:
@@ -208,7 +212,7 @@ def silhouette_sq(pred: DataFrame, zone_col: str, d: int, K: int, label: str = "
     itself (factor n_C / (n_C - 1)); a row alone in its cluster scores 0; a
     zone with a single non-empty cluster gets NULL.
     """
-    from voltlens.operators.joins import broadcast_if_small
+    from voltlens.operators.prefix import broadcast_checked, materialize
 
     norm = None
     for j in range(d):
@@ -216,9 +220,10 @@ def silhouette_sq(pred: DataFrame, zone_col: str, d: int, K: int, label: str = "
         norm = t if norm is None else norm + t
     p = pred.select(zone_col, F.col(label).cast("long").alias("_cl"), *[F.col(f"{x}{j}") for j in range(d)],
                     norm.alias("_nx"))
+    p = materialize(p)  # the prediction runs once; statistics and scores read the table
     stats = p.groupBy(zone_col).pivot("_cl", list(range(K))).agg(
         F.count(F.lit(1)).alias("n"), F.avg("_nx").alias("mn"), *[F.avg(f"{x}{j}").alias(f"m{j}") for j in range(d)])
-    j = p.join(broadcast_if_small(stats, 100_000), on=zone_col, how="inner")
+    j = p.join(broadcast_checked(stats, 100_000), on=zone_col, how="inner")
     md = {}
     for k in range(K):
         dot = None

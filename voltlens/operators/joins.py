@@ -30,12 +30,18 @@ def join_renamed(left: DataFrame, right: DataFrame, left_key, right_key, how: st
     column names only, so two sides derived from the same table (or the same
     checkpoint) never produce ambiguous references.
     ``null_keys_match`` reproduces pandas ``merge`` pairing NULL with NULL (J11, D8);
-    off by default because it also creates one hot NULL key.
+    off by default. It is refused when both sides hold more than one row with a
+    NULL key: every left one would pair with every right one, and all in one task.
     """
     lks = [left_key] if isinstance(left_key, str) else list(left_key)
     rks = [right_key] if isinstance(right_key, str) else list(right_key)
     tmp = {b: f"_vl_rk{i}" for i, b in enumerate(rks)}
     r = right.withColumnsRenamed(tmp)
+    if null_keys_match:
+        for a, b in zip(lks, rks):
+            many = [df.where(F.col(q(c)).isNull()).limit(2).count() > 1 for df, c in ((left, a), (right, b))]
+            if all(many):
+                raise ValueError(f"null_keys_match: {a!r} and {b!r} both hold several NULLs")
     cond = None
     for a, b in zip(lks, rks):
         la, rb = F.col(q(a)), F.col(tmp[b])

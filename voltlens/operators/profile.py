@@ -194,6 +194,62 @@ def cleaning_report(before: DataFrame, after: DataFrame) -> DataFrame:
                     cr.alias("cols_reduction"), rounded_pct(cr, "cols_before").alias("cols_reduction_pct"))
 
 
+def _missing(df: DataFrame, c: str):
+    bad = F.col(q(c)).isNull()
+    if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+        bad = bad | F.isnan(F.col(q(c)))
+    return bad
+
+
+def _lines(row: DataFrame, entries) -> DataFrame:
+    """(section, name, value, n) rows from one aggregate row; entries: (section, name, value, n)."""
+    typed = [F.struct(F.lit(s).alias("section"), F.lit(n).cast("string").alias("name"),
+                      F.lit(v).cast("string").alias("value"), k.cast("double").alias("n")) for s, n, v, k in entries]
+    return row.select(F.inline(F.array(*typed)))
+
+
+def processed_report(df: DataFrame, n_items: int) -> DataFrame:
+    """A11, processed part: rows, columns, missing values and their percentage, columns per
+    type with their names, and the number of items, as (section, name, value, n).
+    One aggregation over the table."""
+    per_type: dict[str, list] = {}
+    for f in df.schema.fields:
+        per_type.setdefault(f.dataType.simpleString(), []).append(f.name)
+    row = df.agg(F.count(F.lit(1)).alias("rows"),
+                 sum((F.coalesce(F.sum(_missing(df, c).cast("long")), F.lit(0)) for c in df.columns), F.lit(0)).alias("missing"))
+    pct = F.coalesce(F.round(F.try_divide(F.col("missing") * 100.0, F.col("rows") * len(df.columns)), 2), F.lit(0.0))
+    return _lines(row, [("rows", None, None, F.col("rows")), ("columns", None, None, F.lit(len(df.columns))),
+                        ("missing_values", None, None, F.col("missing")), ("missing_percentage", None, None, pct),
+                        *[("data_types", t, ", ".join(cs), F.lit(len(cs))) for t, cs in sorted(per_type.items())],
+                        ("item_columns_count", None, None, F.lit(n_items))])
+
+
+def cleaning_details(before: DataFrame, after: DataFrame, duplicate_keys=("orden", "odt")) -> DataFrame:
+    """A12, details: missing values per column, types and duplicated rows before; missing
+    values, types and the frequencies of text columns after; as (section, name, value, n).
+    One aggregation per side, one for the duplicates and one for all frequencies."""
+    from voltlens.operators.dedupe import duplicate_count
+
+    out = None
+    for side, df in (("before", before), ("after", after)):
+        row = df.agg(*[F.coalesce(F.sum(_missing(df, c).cast("long")), F.lit(0)).alias(f"m{i}")
+                       for i, c in enumerate(df.columns)])
+        part = _lines(row, [(f"missing_{side}", c, None, F.col(f"m{i}")) for i, c in enumerate(df.columns)]
+                      + [(f"type_{side}", f.name, f.dataType.simpleString(), F.lit(None)) for f in df.schema.fields])
+        out = part if out is None else out.unionByName(part)
+    keys = [k for k in duplicate_keys if k in before.columns]
+    if keys:
+        dup = duplicate_count(before, keys)
+        out = out.unionByName(_lines(dup, [("duplicates_before", "_".join(keys), None, F.col("duplicate_rows"))]))
+    text = [f.name for f in after.schema.fields if isinstance(f.dataType, T.StringType)]
+    if text:
+        stack = ", ".join(f"'{c}', {q(c)}" for c in text)
+        freq = after.selectExpr(f"stack({len(text)}, {stack}) AS (name, value)").where(F.col("value").isNotNull())
+        out = out.unionByName(freq.groupBy("name", "value").agg(F.count(F.lit(1)).cast("double").alias("n")).select(
+            F.lit("frequency_after").alias("section"), "name", "value", "n"))
+    return out
+
+
 def class_balance(df: DataFrame, col: str, positive, by=None) -> DataFrame:
     """Counts and percentages of positive / other values."""
     by = _by(by)

@@ -14,6 +14,7 @@ from voltlens.operators import dedupe, eav, joins
 
 log = logging.getLogger(__name__)
 
+# Columns of the source tables and of the training set.
 ANOMALY_COLS = ["Orden", "Usuario", "Ejecucion", "Codigo", "Descripcion", "Motivo", "kWh_Rec"]
 SEVERITY_COLS = ["Item", "id", "Nombre", "puntaje"]
 USER_COLS = ["CLIENTE", "PRODUCTO", "AREA", "PLAN_COMERCIAL", "TRAFO_OPEN", "FASES", "KVA", "CATEGORIA",
@@ -60,6 +61,17 @@ def inference_dataset(anomalies: DataFrame, users: DataFrame, severity: DataFram
 
 # --------------------------------------------------------------------------- C1
 
+# The inspection items of the yearly dataset and their types.
+ITEM_TYPES = {
+    1442: "double", 8: "string", 237: "string", 23: "string", 24: "string", 33: "double", 598: "string",
+    601: "string", 43: "double", 99: "double", 35: "string", 111: "double", 599: "string", 108: "double",
+    603: "string", 190: "double", 192: "string", 588: "double", 248: "string", 591: "double", 602: "string",
+    41: "double", 211: "double", 74: "string", 1889: "double", 597: "string", 600: "string", 37: "double",
+    1407: "string", 1410: "string", 68: "string", 1328: "double", 1334: "string", 594: "string", 67: "string",
+    1408: "string", 1352: "double", 1405: "string", 1283: "double", 1343: "double", 1346: "double",
+    1292: "double", 1298: "double", 69: "string", 1331: "string", 202: "double", 1349: "double",
+}
+
 BASE_COLUMNS = ["item_288", "PLAN_COMERCIAL", "NIVEL", "LATI_USU", "LONG_USU", "AREA", "ZONA",
                 "Descripcion", "odt", "orden"]
 
@@ -81,7 +93,7 @@ def yearly_anomalies(anomalies: DataFrame, target_year: int, year_col: str = "a
 
 
 def process_data(anomalies: DataFrame, users: DataFrame, plain: DataFrame, uid_conversion: DataFrame,
-                 target_year: int, item_ids, item_types: dict[str, str] | None = None,
+                 target_year: int, item_ids=tuple(ITEM_TYPES), item_types: dict[str, str] | None = None,
                  zone_item: int = 1, customer_item: int = 288, order_col: str = "_ord",
                  constant_year: bool = False) -> DataFrame:
     """Yearly dataset.
@@ -111,7 +123,9 @@ def process_data(anomalies: DataFrame, users: DataFrame, plain: DataFrame, uid_c
     base = select_existing(m, BASE_COLUMNS)
     wide = eav.widen_join(base, plain, item_ids, order_col=order_col)
     wide = wide.withColumn("Descripcion", null_tokens_to_null("Descripcion"))
-    typed = apply_type_map(wide, item_types or {})
+    if item_types is None:
+        item_types = {f"item_{i}": ITEM_TYPES[i] for i in item_ids if i in ITEM_TYPES}
+    typed = apply_type_map(wide, item_types)
     return typed.withColumn("año", F.lit(target_year).cast("long"))
 
 

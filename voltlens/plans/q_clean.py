@@ -223,6 +223,46 @@ def a12_cleaning_report(spark, sf_dir):
     return PR.cleaning_report(u, after)
 
 
+@register("a11_processed_report", """
+WITH t AS (SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment,
+                  CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_acctbal END AS c_acctbal FROM customer),
+m AS (SELECT count(*) AS rows, count(*) FILTER (WHERE c_mktsegment IS NULL) + count(*) FILTER (WHERE c_acctbal IS NULL)
+             AS missing FROM t)
+SELECT 'rows' AS section, NULL::VARCHAR AS name, NULL::VARCHAR AS value, rows::DOUBLE AS n FROM m
+UNION ALL SELECT 'columns', NULL, NULL, 3 UNION ALL SELECT 'missing_values', NULL, NULL, missing FROM m
+UNION ALL SELECT 'missing_percentage', NULL, NULL, round(missing * 100.0 / (rows * 3), 2) FROM m
+UNION ALL SELECT 'data_types', 'bigint', 'c_custkey', 1 UNION ALL SELECT 'data_types', 'double', 'c_acctbal', 1
+UNION ALL SELECT 'data_types', 'string', 'c_mktsegment', 1 UNION ALL SELECT 'item_columns_count', NULL, NULL, 47""")
+def a11_processed_report(spark, sf_dir):
+    """Processed statistics: NaN and NULL count as missing, 47 declared items."""
+    k = F.col("c_custkey")
+    t = A.read(spark, sf_dir, "customer").select(
+        "c_custkey", F.when(k % 7 != 0, F.col("c_mktsegment")).alias("c_mktsegment"),
+        F.when(k % 10 == 0, F.lit(float("nan"))).when(k % 5 != 0, F.col("c_acctbal")).alias("c_acctbal"))
+    return PR.processed_report(t, len(P.ITEM_TYPES))
+
+
+@register("a12_cleaning_details", """
+WITH b AS (SELECT c_custkey, c_nationkey AS orden, CAST(c_custkey % 9 AS BIGINT) AS odt,
+                  CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END AS seg FROM customer),
+a AS (SELECT c_custkey, seg FROM b WHERE seg IS NOT NULL),
+d AS (SELECT sum(n) AS n FROM (SELECT count(*) AS n FROM b GROUP BY orden, odt HAVING count(*) > 1))
+SELECT 'missing_before' AS section, 'seg' AS name, NULL::VARCHAR AS value, (SELECT count(*) FROM b WHERE seg IS NULL)::DOUBLE AS n
+UNION ALL SELECT 'missing_before', unnest(['c_custkey', 'orden', 'odt']), NULL, 0
+UNION ALL SELECT 'type_before', unnest(['c_custkey', 'orden', 'odt']), 'bigint', NULL
+UNION ALL SELECT 'type_before', 'seg', 'string', NULL
+UNION ALL SELECT 'missing_after', unnest(['c_custkey', 'seg']), NULL, 0
+UNION ALL SELECT 'type_after', 'c_custkey', 'bigint', NULL UNION ALL SELECT 'type_after', 'seg', 'string', NULL
+UNION ALL SELECT 'duplicates_before', 'orden_odt', NULL, COALESCE(n, 0) FROM d
+UNION ALL SELECT 'frequency_after', 'seg', seg, count(*) FROM a GROUP BY seg""")
+def a12_cleaning_details(spark, sf_dir):
+    """The parts of the cleaning report beside the shapes."""
+    b = A.read(spark, sf_dir, "customer").select(
+        "c_custkey", F.col("c_nationkey").cast("long").alias("orden"), (F.col("c_custkey") % 9).cast("long").alias("odt"),
+        F.when(F.col("c_custkey") % 7 != 0, F.col("c_mktsegment")).alias("seg"))
+    return PR.cleaning_details(b, PR.drop_nulls(b, "seg").select("c_custkey", "seg"))
+
+
 @register("a13_class_balance", V("""
 SELECT "Motivo", CAST(sum(CASE WHEN lbl = 'Anomalia' THEN 1 ELSE 0 END) AS BIGINT) AS positive,
        CAST(sum(CASE WHEN lbl = 'Anomalia' THEN 0 ELSE 1 END) AS BIGINT) AS negative, CAST(count(*) AS BIGINT) AS total,

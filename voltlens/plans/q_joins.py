@@ -117,9 +117,13 @@ def j8_right_join_users(spark, sf_dir):
 
 @register("j11_null_keys_match", V(f"""
 SELECT a."Orden", a."Usuario", u."PRODUCTO", u."ZONA" FROM ({_NULLY_AN}) a
-LEFT JOIN ({_NULLY_US}) u ON a."Usuario" IS NOT DISTINCT FROM u."PRODUCTO" """, "anomalies", "users"))
+LEFT JOIN (SELECT "PRODUCTO", min("ZONA") AS "ZONA" FROM ({_NULLY_US}) GROUP BY "PRODUCTO") u
+  ON a."Usuario" IS NOT DISTINCT FROM u."PRODUCTO" """, "anomalies", "users"))
 def j11_null_keys_match(spark, sf_dir):
+    """NULL meets NULL; the right side holds one row per key, NULL included (several
+    NULLs on both sides are refused: their pairs would all fall in one task)."""
     a, u = _nully(spark, sf_dir)
+    u = u.groupBy("PRODUCTO").agg(F.min("ZONA").alias("ZONA"))
     return J.join_renamed(a, u, "Usuario", "PRODUCTO", "left", drop_right_key=False, null_keys_match=True)
 
 

@@ -272,6 +272,7 @@ def m2_target_encoding(spark, sf_dir):
 
 
 # boosted severity model on the training set (rows-only checks: no SQL twin)
+# The model's feature columns.
 SEV_NUM = ["LATI_USU", "LONG_USU", "LATI_TRAFO", "LONG_TRAFO", "FASES", "KVA"]
 SEV_CAT = ["TRAFO_OPEN", "AREA", "PLAN_COMERCIAL", "ZONA", "CATEGORIA", "SUB_CATEGORIA"]
 SEV_PARAMS = dict(max_iter=10, max_depth=4, step_size=0.2, max_bins=32)
@@ -323,3 +324,76 @@ def m10_random_search(spark, sf_dir):
     d = CL.stratified_folds(d, "puntaje", key, ["Orden", "Codigo"], k=3)
     return CL.random_search(d, "puntaje", "fold", SEV_NUM, SEV_CAT, n_trials=2, seed=42, max_rounds=6,
                             max_tree_depth=4)
+
+
+# ----------------------------------------------------------------------------- k-NN (M7, M9)
+
+_KNN_ROWS = """SELECT l.doc_id, CAST(quality AS BIGINT) AS y, CAST(n_chars AS DOUBLE) / 1000 AS f0,
+       CAST(l.doc_id % 101 AS DOUBLE) / 10 AS f1, l.doc_id % 5 AS fold
+FROM labels l JOIN documents d ON l.doc_id = d.doc_id"""
+_KNN_NEAR = """near AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY dist, nid) AS rn,
+         min(dist) OVER (PARTITION BY doc_id) AS least
+  FROM (SELECT t.doc_id, t.fold, t.y, n.doc_id AS nid, n.y AS ny,
+               sqrt((t.f0 - n.f0) * (t.f0 - n.f0) + (t.f1 - n.f1) * (t.f1 - n.f1)) AS dist
+        FROM t JOIN n ON {cond})),
+votes AS (SELECT *, CASE WHEN least = 0 THEN CAST(dist = 0 AS INTEGER) ELSE 1 / dist END AS w FROM near WHERE rn <= {most})"""
+
+
+def _knn_rows(spark, sf_dir):
+    lab = A.read(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("long").alias("y"))
+    docs = A.read(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    return lab.join(docs, "doc_id").select(
+        "doc_id", "y", (F.col("n_chars").cast("double") / 1000).alias("f0"),
+        ((F.col("doc_id") % 101).cast("double") / 10).alias("f1"), (F.col("doc_id") % 5).alias("fold"))
+
+
+@register("m7_knn_predict", f"""
+WITH d AS ({_KNN_ROWS}), t AS (SELECT * FROM d WHERE fold = 0), n AS (SELECT * FROM d WHERE fold <> 0),
+{_KNN_NEAR.format(cond="true", most=5)}
+SELECT doc_id, round(sum(w) FILTER (WHERE ny = 1) / sum(w), 9) AS p_1,
+       CASE WHEN COALESCE(sum(w) FILTER (WHERE ny = 1), 0) > COALESCE(sum(w) FILTER (WHERE ny = 0), 0)
+            THEN 1 ELSE 0 END::BIGINT AS pred
+FROM votes GROUP BY doc_id""")
+def m7_knn_predict(spark, sf_dir):
+    """Distance-weighted vote of the 5 nearest rows of the other folds for the rows of one fold."""
+    from voltlens.operators import knn
+    d = _knn_rows(spark, sf_dir)
+    model = knn.fit(d.where("fold <> 0"), ["f0", "f1"], "y", "doc_id")
+    out = knn.predict(d.where("fold = 0"), model, 5, ["doc_id"])
+    p = F.round("p_1", 9)
+    return out.select("doc_id", F.when(p > 0, p).alias("p_1"), F.col("pred").cast("long").alias("pred"))
+
+
+@register("m9_knn_grid", f"""
+WITH d AS ({_KNN_ROWS}), t AS (SELECT * FROM d), n AS (SELECT * FROM d),
+{_KNN_NEAR.format(cond="t.fold <> n.fold", most=49)},
+ks AS (SELECT unnest(range(3, 50, 2)) AS k),
+p AS (SELECT k, doc_id, any_value(fold) AS fold, any_value(y) AS y,
+             round(COALESCE(sum(w) FILTER (WHERE ny = 1), 0) / sum(w), 9) AS p1
+      FROM votes JOIN ks ON rn <= k GROUP BY k, doc_id),
+o AS (SELECT k, fold, c, CAST(y = c AS INTEGER) AS pos, CASE c WHEN 1 THEN p1 ELSE round(1 - p1, 9) END AS s
+      FROM p, (VALUES (0), (1)) v(c)),
+r AS (SELECT *, rank() OVER w + (count(*) OVER (PARTITION BY k, fold, c, s) - 1) / 2.0 AS rk
+      FROM o WINDOW w AS (PARTITION BY k, fold, c ORDER BY s)),
+a AS (SELECT k, fold, c, sum(pos) AS np, (sum(rk) FILTER (WHERE pos = 1) - sum(pos) * (sum(pos) + 1) / 2.0)
+             / (sum(pos) * (count(*) - sum(pos))) AS auc FROM r GROUP BY k, fold, c),
+f AS (SELECT k, fold, sum(auc * np) / sum(np) AS a FROM a GROUP BY k, fold)
+SELECT CAST(k AS INTEGER) AS k, round(avg(a), 6) AS auc FROM f GROUP BY k""")
+def m9_knn_grid(spark, sf_dir):
+    """AUC of k = 3..49 over five folds; neighbours ranked once."""
+    from voltlens.operators import knn
+    out = knn.grid(_knn_rows(spark, sf_dir), ["f0", "f1"], "y", "fold", "doc_id")
+    return out.select("k", F.round("auc", 6).alias("auc"))
+
+
+@register("d3_zone_preprocessor", _sql('SELECT "CLIENTE", "ZONA", ' + ", ".join(f"f{j}" for j in range(D)) + " FROM T3",
+                                       [("T3", _transform_sql('SELECT * FROM users WHERE "ZONA" IS NOT NULL'))]))
+def d3_zone_preprocessor(spark, sf_dir):
+    """The fitted preprocessing as a pipeline Transformer."""
+    from voltlens.operators.features import fit_zone_prep
+    from voltlens.operators.ml import ZonePreprocessor
+    users = A.users(spark, sf_dir)
+    prep = fit_zone_prep(P.cluster_fit_rows(users), "ZONA", NUM, CAT)
+    out = ZonePreprocessor(prep).transform(users.where(F.col("ZONA").isNotNull()))
+    return out.select("CLIENTE", "ZONA", *[f"f{j}" for j in range(D)])

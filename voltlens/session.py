@@ -52,11 +52,16 @@ def get_session(master: str | None = None, app: str = "voltlens",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for reliable checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) a fresh folder is created here.
+    The cluster names it in ``spark.checkpoint.dir``. Only in local mode, where
+    one machine holds driver and executors, a fresh folder is created when that
+    is unset; on a cluster an unset folder is an error, since a folder of the
+    driver's machine is not seen by the executors.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="voltlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

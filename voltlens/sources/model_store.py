@@ -16,7 +16,8 @@ def save_zone_models(spark: SparkSession, prep, model, path: str) -> None:
     prep.dictionary.write.mode("overwrite").parquet(f"{path}/dictionary")
     model.centres_long(spark).write.mode("overwrite").parquet(f"{path}/centres")
     meta = {"zone_col": prep.zone_col, "num_cols": prep.num_cols, "cat_cols": prep.cat_cols, "K": model.K,
-            "d": model.d, "m": model.m, "iterations": model.iterations}
+            "d": model.d, "m": model.m, "iterations": model.iterations, "converged": model.converged,
+            "shift": model.shift}
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").json(f"{path}/meta")
 
 
@@ -33,7 +34,8 @@ def load_zone_models(spark: SparkSession, path: str):
     centres: dict = {}
     for r in rows:
         centres.setdefault(r[meta["zone_col"]], []).append([r[f"x{j}"] for j in range(d)])
-    return prep, FcmModel(meta["zone_col"], K, d, meta["m"], centres, meta["iterations"])
+    return prep, FcmModel(meta["zone_col"], K, d, meta["m"], centres, meta["iterations"],
+                          meta.get("converged"), meta.get("shift", float("inf")))
 
 
 def save_classifier(model, path: str) -> None:

@@ -64,10 +64,12 @@ def write_duplicates(df: DataFrame, keys, path: str, fmt: str = "csv") -> int:
 
 def split_rejects(df: DataFrame, required, good_path: str, bad_path: str, fmt: str = "parquet") -> tuple[int, int]:
     """Rows missing any required field go to ``bad_path``, the rest to
-    ``good_path``. The flag is computed once; both writes read the same input."""
+    ``good_path``. The input is computed once, into a table of the shared folder;
+    both writes read that table."""
+    from voltlens.operators.prefix import materialize
     from voltlens.operators.profile import any_null
 
-    flagged = df.withColumn("_vl_bad", any_null(required))
+    flagged = materialize(df.withColumn("_vl_bad", any_null(required)))
     ob_g, ob_b = Observation("good"), Observation("bad")
     write_table(flagged.where(~F.col("_vl_bad")).drop("_vl_bad").observe(ob_g, F.count(F.lit(1)).alias("n")),
                 good_path, fmt)
