@@ -72,3 +72,19 @@ def test_partition_scores(spark):
     df = spark.createDataFrame([("z", 1.0)], "zone string, f0 double")
     r = fcm.partition_scores(fcm.predict(df, model), model).first()
     assert abs(r.PC - 0.5) < 1e-12 and abs(r.PEC - np.log(2)) < 1e-12
+
+
+def test_convergence_is_reported_and_centres_are_a_fixed_point(spark):
+    rng = np.random.default_rng(3)
+    X = np.vstack([rng.normal(c, 0.3, size=(40, 2)) for c in (0, 4, 9)])
+    pdf = pd.DataFrame(X, columns=["f0", "f1"]).assign(zone="z")
+    df = spark.createDataFrame(pdf)
+    short = fcm.fit(df, "zone", 2, max_iter=2, tol=1e-8)
+    assert short.converged is False and short.shift > 1e-8
+    model = fcm.fit(df, "zone", 2, max_iter=150, tol=1e-8)
+    assert model.converged is True and model.shift < 1e-8 and model.iterations < 150
+    C = np.array(model.centres["z"])
+    d2 = ((X[:, None, :] - C[None, :, :]) ** 2).sum(axis=2)
+    U = 1.0 / (d2[:, :, None] / d2[:, None, :]).sum(axis=2)
+    again = (U ** 2).T @ X / (U ** 2).sum(axis=0)[:, None]
+    assert np.abs(again - C).max() < 1e-7
