@@ -5,7 +5,7 @@ and one weight vector shared by all of them. Features are words and word stems (
 four and five letters), hashed; a feature's value is the sum of log(1 + count) over
 the distinct words of the text that carry it, so a text's score is a sum over its
 distinct words. The weights are fitted with an L1 penalty (proximal steps with per-feature
-step sizes), which leaves only features that carry severity. Output: the expected
+step sizes) and kept at zero or above, which leaves only features that carry severity. Output: the expected
 severity sum_k P(grade >= k), the most probable grade and ``toxic`` (P(grade >= 1) >= 0.5).
 
 The fit takes a bounded sample of the labelled rows: about ``fit_rows`` of each grade,
@@ -62,9 +62,12 @@ class Model:
         return sigmoid(np.asarray(score, float)[:, None] - self.thresholds[None, :])
 
 
-def fit_weights(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, weight: np.ndarray, l1: float = 2e-4,
-                steps: int = 120, least_texts: int = 5) -> Model:
-    """Proximal gradient with per-feature step sizes on the weighted log-likelihood."""
+def fit_weights(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, weight: np.ndarray, l1: float = 5e-5,
+                steps: int = 250, least_texts: int = 5, raising_only: bool = True) -> Model:
+    """Proximal gradient with per-feature step sizes on the weighted log-likelihood.
+
+    ``raising_only`` keeps the weights at zero or above: a feature may raise the severity,
+    and no amount of harmless words in a long text outweighs the harmful ones."""
     top = int(grades.max(initial=0))
     if top == 0:
         return Model({}, [])
@@ -102,7 +105,7 @@ def fit_weights(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, w
         free_sq += d_free ** 2
         step = 0.5 / np.sqrt(seen_sq)
         w = w - step * grad
-        w = np.sign(w) * np.maximum(np.abs(w) - step * l1, 0)
+        w = np.maximum(w - step * l1, 0) if raising_only else np.sign(w) * np.maximum(np.abs(w) - step * l1, 0)
         free = free - 0.2 * d_free / np.sqrt(free_sq)
     t = np.concatenate([free[:1], free[0] + np.cumsum(np.exp(free[1:]))])
     return Model({int(f): float(x) for f, x in zip(names, w) if x != 0}, t.tolist())
