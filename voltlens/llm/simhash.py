@@ -105,19 +105,15 @@ def links(distinct: DataFrame, max_bits: int = 3, segments: int = 2) -> DataFram
     # few bytes grow to many probes: keep as many tasks as a shuffle has
     distinct = distinct.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), "simhash")
     fp = F.col("simhash")
-    stored, probes = [], []
-    for i in range(segments):
-        part = segment(fp, i, width)
-        stored.append(F.struct(F.lit(i).alias("seg"), part.alias("key")))
-        probes.append(F.struct(F.lit(i).alias("seg"), part.alias("key")))
-        for r in range(1, radius + 1):
-            for bits in combinations(range(width), r):
-                top, mask = 1 << bits[-1], sum(1 << b for b in bits)
-                probes.append(F.when(part.bitwiseAND(F.lit(top)) != 0, F.struct(
-                    F.lit(i).alias("seg"), part.bitwiseXOR(F.lit(mask)).alias("key"))))
-    stored_rows = distinct.select(fp.alias("b"), F.explode(F.array(*stored)).alias("s")).select("b", "s.seg", "s.key")
-    probe_rows = distinct.select(fp.alias("a"), F.explode(F.array(*probes)).alias("s")).where(
-        F.col("s").isNotNull()).select("a", "s.seg", "s.key")
+    parts = F.array(*(F.struct(F.lit(i).alias("seg"), segment(fp, i, width).alias("key")) for i in range(segments)))
+    cut = distinct.select(fp, F.explode(parts).alias("s")).select("simhash", "s.seg", "s.key")
+    ball = [(sum(1 << b for b in bits), 1 << bits[-1] if bits else 0)
+            for r in range(radius + 1) for bits in combinations(range(width), r)]
+    masks = F.array(*(F.struct(F.lit(m).cast("long").alias("mask"), F.lit(t).cast("long").alias("top")) for m, t in ball))
+    probe_rows = cut.select(fp.alias("a"), "seg", "key", F.explode(masks).alias("m")).where(
+        (F.col("m.mask") == 0) | (F.col("key").bitwiseAND(F.col("m.top")) != 0)).select(
+        "a", "seg", F.col("key").bitwiseXOR(F.col("m.mask")).alias("key"))
+    stored_rows = cut.select(fp.alias("b"), "seg", "key")
     near = (F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
     found = probe_rows.join(stored_rows, (probe_rows.seg == stored_rows.seg) & (probe_rows.key == stored_rows.key) & near)
     return found.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
