@@ -70,7 +70,7 @@ class Words(dict):
     """White-space word -> code; per code the plain hash, the template hash and whether it
     has a slot. Code 0: no word. The table is emptied by ``trim`` when it has grown large."""
 
-    LIMIT = 600_000
+    LIMIT = 300_000
 
     def __init__(self):
         super().__init__()
@@ -78,8 +78,8 @@ class Words(dict):
 
     def reset(self):
         self.clear()
-        self.rows = [(0, 0, 0)]
-        self.made = None
+        self.plain, self.typed, self.slot = np.zeros(1, np.uint64), np.zeros(1, np.uint64), np.zeros(1, np.int8)
+        self.new: list[tuple[int, int, int]] = []  # codes not yet in the arrays
 
     def trim(self):
         if len(self) > self.LIMIT:
@@ -91,9 +91,9 @@ class Words(dict):
         forms = canonical(word)
         code = 0
         if forms:
-            code = len(self.rows)
-            self.rows.append((xxh64_intdigest(forms[0].encode("utf-8", "surrogatepass")),
-                              xxh64_intdigest(forms[1].encode("utf-8", "surrogatepass")), int("\x01" in forms[1])))
+            code = len(self.plain) + len(self.new)
+            self.new.append((xxh64_intdigest(forms[0].encode("utf-8", "surrogatepass")),
+                             xxh64_intdigest(forms[1].encode("utf-8", "surrogatepass")), int("\x01" in forms[1])))
         self[word] = code
         return code
 
@@ -108,8 +108,13 @@ class Words(dict):
                 counts[i] = len(c)
                 codes.append(c)
         flat = np.concatenate(codes) if codes else np.zeros(0, np.int64)
-        plain, typed, slot = (np.array(x) for x in zip(*self.rows))
-        return (plain.astype(np.uint64)[flat], typed.astype(np.uint64)[flat], slot[flat].astype(np.int8), counts)
+        if self.new:
+            plain, typed, slot = zip(*self.new)
+            self.plain = np.concatenate([self.plain, np.array(plain, np.uint64)])
+            self.typed = np.concatenate([self.typed, np.array(typed, np.uint64)])
+            self.slot = np.concatenate([self.slot, np.array(slot, np.int8)])
+            self.new = []
+        return self.plain[flat], self.typed[flat], self.slot[flat], counts
 
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
