@@ -39,7 +39,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def byte_bpe_round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text; ``exact`` says that decoding them gives the text's bytes."""
     path = public_tokenizers.path(RANKS)
-    coded = byte_bpe.decode(byte_bpe.encode(docs, path), path)
+    coded = byte_bpe.encode(docs, path, decoded=True)
     whole = F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary"))
     return coded.select("doc_id", "lang", "source", "text", "ids", F.size("ids").cast("long").alias("n_tokens"),
                         (F.col("decoded") == whole).alias("exact"))

@@ -53,6 +53,8 @@ def test_round_trip_and_edges(edge, frame, judge):
     out = byte_bpe.decode(byte_bpe.encode(edge.toDF(*[f"x{i}" for i in range(8)]), PATH, text_col="x1"), PATH)
     rows = out.select("x1", "ids", "decoded").collect()
     assert len(rows) == edge.count()
+    once = byte_bpe.encode(edge.toDF(*[f"x{i}" for i in range(8)]), PATH, text_col="x1", decoded=True)
+    assert sorted(map(str, once.select("x1", "ids", "decoded").collect())) == sorted(map(str, rows))
     for r in rows:
         assert bytes(r.decoded) == (r.x1 or "").encode() and r.ids == judge.encode_ordinary(r.x1 or "")
     assert byte_bpe.encode(frame([]), PATH).count() == 0

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, types as T
 from voltlens.llm.common import annotate, arrow_type, importable, position
 
 #: Distinct matches kept per task.
-KEPT_MATCHES = 400_000
+KEPT_MATCHES = 150_000
 
 # Characters on which the standard module's classes equal the pattern's: ASCII without
 # 1C-1F, Latin letters, common punctuation.
@@ -129,10 +129,14 @@ def lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(at), pa.array(flat.astype(np.int32)))
 
 
-def encode(df: DataFrame, ranks_path: str, text_col: str = "text", keep=None, offsets: bool = False) -> DataFrame:
-    """Append ``ids`` (array of int) and, with ``offsets``, ``starts`` and ``ends`` in characters."""
+def encode(df: DataFrame, ranks_path: str, text_col: str = "text", keep=None, offsets: bool = False,
+           decoded: bool = False) -> DataFrame:
+    """Append ``ids`` (array of int); with ``offsets`` also ``starts`` and ``ends`` in characters;
+    with ``decoded`` also the bytes that ``decode`` gives for the ids, in the same pass (a second
+    pass would keep a second Python worker beside each task)."""
     ints = T.ArrayType(T.IntegerType())
     fields = [T.StructField(n, ints) for n in (["ids", "starts", "ends"] if offsets else ["ids"])]
+    fields += [T.StructField("decoded", T.BinaryType())] if decoded else []
 
     def make():
         import os
@@ -142,10 +146,11 @@ def encode(df: DataFrame, ranks_path: str, text_col: str = "text", keep=None, of
 
         def work(texts):
             ids = codec.encode(texts)
-            if not offsets:
-                return [lists(ids)]
-            spans = [codec.offsets(x) for x in ids]
-            return [lists(ids), lists([s for s, _ in spans]), lists([e for _, e in spans])]
+            out = [lists(ids)]
+            if offsets:
+                spans = [codec.offsets(x) for x in ids]
+                out += [lists([s for s, _ in spans]), lists([e for _, e in spans])]
+            return out + ([[codec.decode(x) for x in ids]] if decoded else [])
 
         return work
 

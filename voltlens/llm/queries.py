@@ -65,7 +65,7 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(RANKS)
-    coded = byte_bpe.decode(byte_bpe.encode(documents(spark, sf_dir), path, keep=["doc_id"]), path)
+    coded = byte_bpe.encode(documents(spark, sf_dir), path, keep=["doc_id"], decoded=True)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
