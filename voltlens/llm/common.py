@@ -7,12 +7,13 @@ from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from voltlens.session import scratch_path
 
 #: Texts of about this many bytes are handed to a vectorised function at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def importable(spark: SparkSession) -> None:
@@ -49,24 +50,30 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def slices(texts: Sequence[str | None], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Index ranges of about ``limit`` characters, at least one text each."""
+def slices(sizes: Sequence[int], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Index ranges of about ``limit`` bytes, at least one text each."""
     start, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t) if t else 0
+    for i, n in enumerate(sizes):
+        size += n
         if size >= limit:
             yield start, i + 1
             start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def text_sizes(texts: pa.Array) -> list[int]:
+    """Bytes of every text, 0 for null; the texts themselves are not read."""
+    return pc.fill_null(pc.binary_length(texts), 0).to_pylist()
 
 
 def annotate(df: DataFrame, text_col: str, fields: list[T.StructField],
-             make: Callable[[], Callable[[list[str | None]], list]], keep: Sequence[str] | None = None) -> DataFrame:
+             make: Callable[[], Callable[[list[str | None]], list]], keep: Sequence[str] | None = None,
+             limit: int = SLICE_BYTES) -> DataFrame:
     """Append columns computed from a text column, Arrow batch by Arrow batch.
 
-    ``make()`` runs once per task and returns a function from a list of texts to one
-    list of values per new field. ``keep``: input columns to carry (default: all).
+    ``make()`` runs once per task and returns a function from a list of texts (of about
+    ``limit`` bytes together, one text at least) to one list of values per new field. ``keep``: input columns to carry (default: all).
     Input columns whose names equal a new field (without case) are replaced by it.
     """
     importable(df.sparkSession)
@@ -87,13 +94,14 @@ def annotate(df: DataFrame, text_col: str, fields: list[T.StructField],
         work = make()
         for batch in batches:
             texts = batch.column(n)
-            for lo, hi in slices(texts.to_pylist()):
+            for lo, hi in slices(text_sizes(texts), limit):
                 part = batch.slice(lo, hi - lo)
                 values = work(part.column(n).to_pylist())
                 arrays = [v if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v, type=t)
                           for v, t in zip(values, arrow_types)]
                 yield pa.RecordBatch.from_arrays(
                     list(part.columns[:n]) + arrays, names=[f"c{i}" for i in carried] + [f.name for f in fields])
+            pa.default_memory_pool().release_unused()  # the worker lives on for other tasks
 
     out = needed.mapInArrow(run, schema)
     return out.toDF(*(df.columns[i] for i in carried), *(f.name for f in fields))

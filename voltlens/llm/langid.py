@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from voltlens.llm.common import annotate, materialize, pick, position
+from voltlens.llm.common import annotate, materialize, pick, position, slices
 
 ORDER = 5
 REJECT_MARGIN = 3.0
@@ -39,6 +39,8 @@ CALIBRATE = 5
 #: Characters below which the spread of a text's cross-entropy is taken to shrink with length.
 SETTLED = 400
 UNKNOWN = "und"
+#: Characters handled at once; arrays of some 150 bytes a character exist meanwhile.
+SLICE_CHARS = 1 << 19
 BLANK = 32
 
 
@@ -84,23 +86,35 @@ def hash_grams(grams: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def rolled_hashes(flat: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """``hash_grams`` of the n-gram of highest order that ends at each place."""
+    h = np.zeros(len(own), np.uint64)
+    for j in range(ORDER):
+        h += (flat[own - j].astype(np.uint64) + np.uint64(1)) * MULTIPLIERS[j]
+    h ^= h >> np.uint64(32)
+    return h
+
+
+def grams_at(flat: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return flat[places[:, None] + np.arange(1 - ORDER, 1)]
+
+
 def count_grams(rows: DataFrame) -> DataFrame:
     """``(lang, gram, n)`` of all n-grams of the highest order; rows have lang and text."""
 
     def run(batches):
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            out: dict[str, list] = {"lang": [], "gram": [], "n": []}
-            for lang in set(langs):
-                flat, own, _ = symbols([t for t, l in zip(texts, langs) if l == lang], ORDER - 1)
-                grams = flat[own[:, None] + np.arange(1 - ORDER, 1)]
-                _, first, n = np.unique(hash_grams(grams), return_index=True, return_counts=True)
-                out["lang"] += [lang] * len(first)
-                out["gram"] += ["".join(map(chr, g)) for g in grams[first]]
-                out["n"] += n.tolist()
-            yield pa.RecordBatch.from_pydict(out)
-
-    counted = rows.select("lang", "text").mapInArrow(run, "lang string, gram string, n long")
+            for lang in sorted(set(langs)):
+                own_texts = [t for t, l in zip(texts, langs) if l == lang]
+                for lo, hi in slices([len(t) for t in own_texts], SLICE_CHARS):
+                    flat, own, _ = symbols(own_texts[lo:hi], ORDER - 1)
+                    _, first, n = np.unique(rolled_hashes(flat, own), return_index=True, return_counts=True)
+                    yield pa.RecordBatch.from_pydict({
+                        "lang": [lang] * len(first), "n": n.tolist(),
+                        "gram": ["".join(map(chr, g)) for g in grams_at(flat, own[first]).tolist()]})
+
+    counted = rows.select("lang", "text").mapInArrow(run, "lang string, n long, gram string")
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -197,22 +211,19 @@ class Scorer:
         out = np.full((len(texts), len(self.model.languages)), np.nan)
         if not len(own) or not self.model.languages:
             return out, counts
-        rolled = np.zeros(len(own), np.uint64)
-        for j in range(ORDER):
-            rolled += (flat[own - j].astype(np.uint64) + np.uint64(1)) * MULTIPLIERS[j]
-        rolled ^= rolled >> np.uint64(32)
+        rolled = rolled_hashes(flat, own)
         slot = ((rolled * MULTIPLIERS[1]) >> np.uint64(64 - self.bits)).astype(np.int64)
         values = self.values[slot]
         new = np.flatnonzero(self.keys[slot] != rolled)
         if len(new):
             keys, first, inverse = np.unique(rolled[new], return_index=True, return_inverse=True)
-            looked = self.model.log_probabilities(flat[own[new[first]][:, None] + np.arange(1 - ORDER, 1)])
+            looked = self.model.log_probabilities(grams_at(flat, own[new[first]]))
             values[new] = looked[inverse]
             at = slot[new[first]]
             self.keys[at], self.values[at] = keys, looked
         some = np.flatnonzero(counts)
         starts = np.concatenate([[0], np.cumsum(counts[some])[:-1]])
-        out[some] = -np.add.reduceat(values.astype(np.float64), starts, axis=0) / counts[some, None]
+        out[some] = -np.add.reduceat(values, starts, axis=0, dtype=np.float64) / counts[some, None]
         return out, counts
 
     def predict(self, texts: list[str | None]) -> tuple[list, list, list, list]:
@@ -278,7 +289,7 @@ def calibrate(model: Model, rows: DataFrame) -> None:
         return work
 
     fields = [T.StructField("e", T.ArrayType(T.DoubleType())), T.StructField("n", T.LongType())]
-    scored = annotate(rows, "text", fields, make, keep=["lang"]).where("n > 0").collect()
+    scored = annotate(rows, "text", fields, make, keep=["lang"], limit=SLICE_CHARS).where("n > 0").collect()
     for k, lang in enumerate(model.languages):
         own = np.array([(r.e[k], r.n) for r in scored if r.lang == lang]).reshape(-1, 2)
         if len(own):
@@ -299,7 +310,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep=None) ->
         scorer = Scorer(sent.value)
         return lambda texts: list(scorer.predict(texts))
 
-    return annotate(docs, text_col, FIELDS, make, keep)
+    return annotate(docs, text_col, FIELDS, make, keep, SLICE_CHARS)
 
 
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
