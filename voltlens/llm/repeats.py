@@ -43,8 +43,8 @@ from voltlens.llm.common import materialize, pick
 
 GRAM = 16  # a power of two
 CHUNK_BYTES = 8 << 20
-BUCKET_BYTES = 16 << 20
-PIECE_BYTES = 2 << 20
+BUCKET_BYTES = 8 << 20
+PIECE_BYTES = 1 << 20
 FLUSH_RECORDS = 2_000_000
 PLACE_BITS = np.uint64(24)
 NO_ID = np.iinfo(np.int64).max
