@@ -6,7 +6,7 @@ opaque values (20 and more mixed letters and digits, or hex of 8 to 15 character
 candidate is reported only when a complementary part lies within its scope, the
 ``scope_chars`` characters around it: an endpoint or account needs a secret or opaque value
 that itself is near an access identifier or strong secret, an opaque value needs an access
-identifier, account or endpoint. The parts of a text are joined as intervals on sorted
+identifier, account or endpoint. Weak candidates are matches in the whole text. The parts of a text are joined as intervals on sorted
 positions; their number is bounded by the text.
 
 Cases: null text is empty; nothing is found in an empty text; texts are scanned whole;
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, types as T
 
@@ -51,8 +52,11 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
-def inside(span: tuple[int, int, str], taken: list[tuple[int, int, str]]) -> bool:
-    return any(span[0] < e and s < span[1] for s, e, _ in taken)
+def apart(spans: list[tuple[int, int, str]], taken: list[tuple[int, int, str]]) -> list[tuple]:
+    """The spans that share no character with one of ``taken``."""
+    ordered = sorted(taken)
+    starts, reach = [t[0] for t in ordered], list(accumulate((t[1] for t in ordered), max))
+    return [s for s in spans if not (hi := bisect_left(starts, s[1])) or reach[hi - 1] <= s[0]]
 
 
 def near(spans: list[tuple[int, int, str]], others: list[tuple[int, int, str]], scope: int) -> list[tuple]:
@@ -79,27 +83,14 @@ def link(text: str, base: list[tuple[int, int, str]], scope: int) -> list[tuple[
     anchors = [s for s in base if s[2] in ("assign", "access", "hex")]
     if not anchors:
         return []  # every accepted chain ends at a strong part
-    weak: dict[str, list] = {"endpoint": [], "account": [], "opaque": []}
-    ordered = sorted(anchors)
-    windows: list[list[int]] = []
-    for s, e, _ in ordered:  # parts further than two scopes from a strong one cannot join a chain
-        a, b = max(0, s - 2 * scope), min(len(text), e + 2 * scope)
-        if windows and a <= windows[-1][1]:
-            windows[-1][1] = max(b, windows[-1][1])
-        else:
-            windows.append([a, b])
-    for kind, pattern in (("endpoint", ENDPOINT), ("account", ACCOUNT), ("opaque", OPAQUE)):
-        for a, b in windows:
-            for m in pattern.finditer(text, a, b):
-                span = (m.start(), m.end(), kind)
-                touching = ordered[max(0, bisect_left(ordered, (span[0] - 4096,))):bisect_right(ordered, (span[1],))]
-                if not inside(span, touching):
-                    weak[kind].append(span)
+    weak = {kind: apart([(m.start(), m.end(), kind) for m in pattern.finditer(text)], anchors)
+            for kind, pattern in (("endpoint", ENDPOINT), ("account", ACCOUNT), ("opaque", OPAQUE))}
     access = [s for s in base if s[2] == "access"]
     strong = [s for s in base if s[2] in STRONG]
     identifiers = access + weak["account"]
     opaque = near(weak["opaque"], access, scope)
-    opaque += near([s for s in weak["opaque"] if s not in set(opaque)], near(identifiers + weak["endpoint"], strong, scope), scope)
+    found = set(opaque)
+    opaque += near([s for s in weak["opaque"] if s not in found], near(identifiers + weak["endpoint"], strong, scope), scope)
     account = near(weak["account"], strong + opaque, scope)
     endpoint = near(weak["endpoint"], near(strong + opaque, access + account, scope) + near(access, strong + opaque, scope), scope)
     return opaque + account + endpoint
