@@ -36,7 +36,7 @@ STRONG = ("assign", "hex")
 ENDPOINT = re.compile(
     r"https?://[A-Za-z0-9._~:/?#@!$&'()*+,;=%-]+|(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?::\d{2,5})?(?![\d.])", re.A)
 ACCOUNT = re.compile(r"(?<![A-Za-z0-9._-])[A-Za-z0-9._-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", re.A)
-OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{20,128}"
+OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{20,}"
                     r"(?![A-Za-z0-9+/_=-])|(?<![0-9a-f])(?=[a-f]*[0-9])[0-9a-f]{8,15}(?![0-9a-f])")
 
 
