@@ -102,3 +102,44 @@ def test_edges(spark, edge, frame):
     assert hit == {6: [None], 7: [None]} and kept.count() == edge.count() - 2
     assert dc.without_leaks(edge, bench.limit(0)).count() == edge.count()
     assert dc.without_leaks(frame([]), bench).count() == 0
+
+
+def test_verbatim_windows_count_despite_a_slot_conflict(spark, frame):
+    """One of two equal numbers or names changed, or changed to a value the item also holds."""
+    item = f"{ITEM} The guests eat all of the pears and The host then sells what is left for half the old price."
+    docs = [ITEM.replace("the 12 guests", "the 13 guests"), ITEM.replace("the 12 guests", "the 7 guests"),
+            item.replace("and The host", "and Then host"), f"a b c {item.replace('buys 12', 'buys 3')}"]
+    got = leaks(frame(list(enumerate(docs))), bench_of(spark, [(1, item, "")]))
+    assert set(got) == {(d, 1) for d in range(4)}
+    assert (got[0, 1].start_word, got[0, 1].n_words, got[0, 1].equal_words, got[0, 1].changed_slots) == (0, 18, 18, 0)
+    assert got[3, 1].start_word == 6 and got[3, 1].changed_slots == 0
+
+
+def counting(item, doc):
+    """Equal words and changed slots by definition, item and document word by word (shift 0)."""
+    a, b = ([x for x in map(dc.canonical, t.split()) if x] for t in (doc, item))
+    windows = [[k for k in range(len(b) - 7) if all(a[k + j][f] == b[k + j][f] for j in range(8))] for f in (0, 1)]
+    same, alike = ({p for k in w for p in range(k, k + 8)} for w in windows)
+    runs, places = [], sorted(same | alike)
+    for p in places:
+        runs[-1].append(p) if runs and runs[-1][-1] == p - 1 else runs.append([p])
+    taken = set(same)
+    for run in sorted(runs, key=lambda r: -sum(a[p][0] == b[p][0] for p in r)):
+        pairs = {(b[p][0], a[p][0]) for p in taken | set(run) if "\x01" in a[p][1]}
+        if len({x for x, _ in pairs}) == len(pairs) == len({y for _, y in pairs}):
+            taken |= set(run)
+    equal = sum(a[p][0] == b[p][0] for p in taken)
+    return (equal, len(taken) - equal) if equal >= 5 else None
+
+
+def test_slot_conflicts_against_definition(spark, frame):
+    rng = random.Random(5)
+    items = [" ".join(rng.choice([rng.choice(WORDS), rng.choice(WORDS), str(rng.randint(1, 4)), rng.choice(["Ann", "Bob"])])
+                      for _ in range(40)) for _ in range(30)]
+    docs = [" ".join(str(rng.randint(1, 9)) if w.isdigit() and rng.random() < 0.2 else "zzz" if rng.random() < 0.03 else w
+                     for w in t.split()) for t in items]
+    bench = bench_of(spark, [(i, t, "") for i, t in enumerate(items)])
+    got = leaks(frame(list(enumerate(docs))), bench)
+    want = {(i, i): counting(t, d) for i, (t, d) in enumerate(zip(items, docs))}
+    assert {k: (x.equal_words, x.changed_slots) for k, x in got.items()} == {k: v for k, v in want.items() if v}
+    assert 10 < len(got) <= 30

@@ -7,9 +7,11 @@ documents' windows are joined with the hash table of the benchmark's windows, so
 copies, copies in other case or punctuation and re-parameterised questions all meet.
 
 Windows that meet at the same distance form an alignment of one item in one document.
-It is verified word by word and its slots are checked: a placeholder's old value must
-always map to the same new value and different values to different ones. An alignment
-counts when at least ``min_words`` of its words are plainly equal.
+Its words are verified one by one. Plain windows count by themselves. What template windows
+add is checked by run (a stretch of windows that overlap or adjoin): a placeholder's old value
+must always map to the same new value and different values to different ones, within the run,
+with the plain windows and with the runs of more equal words; a run that does not fit adds
+nothing. An alignment counts when at least ``min_words`` of its words are plainly equal.
 
 The benchmark is read in blocks of bounded size (``BLOCK_CHARS``); each block's table is
 sent to the tasks, a larger benchmark takes more passes, documents are never shuffled.
@@ -161,9 +163,9 @@ class Benchmark:
         """Leaks of every text of a slice."""
         start = np.concatenate([[0], np.cumsum(counts)])
         doc_of = np.repeat(np.arange(len(counts)), counts)
-        aligned: dict[tuple[int, int, int], set] = defaultdict(set)
+        aligned: dict[tuple[int, int, int], tuple[set, set]] = defaultdict(lambda: (set(), set()))
         for width, (keys, item, at, sieve) in self.tables.items():
-            for words in (plain, typed):
+            for form, words in enumerate((plain, typed)):
                 h = window_hashes(words, width)
                 hit = np.flatnonzero(sieve[(h & np.uint64((1 << 20) - 1)).astype(np.int64)])
                 lo, hi = np.searchsorted(keys, h[hit], "left"), np.searchsorted(keys, h[hit], "right")
@@ -172,32 +174,46 @@ class Benchmark:
                     if p + width > start[d + 1]:
                         continue  # would cross into the next text
                     for k in range(a, b):
-                        aligned[d, int(item[k]), p - int(at[k])].update(range(p, p + width))
+                        aligned[d, int(item[k]), p - int(at[k])][form].update(range(p, p + width))
         leaks: list[list[dict]] = [[] for _ in counts]
         best: dict[tuple[int, int], dict] = {}
-        for (d, i, shift), places in sorted(aligned.items()):
-            p = np.array(sorted(places))
+        for (d, i, shift), (same, alike) in sorted(aligned.items()):
+            p = np.array(sorted(same | alike))
             q = p - shift + int(self.start[i])
-            found = self.check(plain[p], typed[p], slot[p], self.plain[q], self.typed[q])
-            if found and found["equal_words"] > best.get((d, i), {"equal_words": 0})["equal_words"]:
-                best[d, i] = found | {"item_id": self.ids[i], "start_word": int(p[0] - start[d]), "n_words": len(p)}
+            fits = self.check(plain[p], typed[p], slot[p], self.plain[q], self.typed[q], np.isin(p, list(same)), p)
+            equal = int((plain[p] == self.plain[q])[fits].sum())
+            if equal >= self.min_words and equal > best.get((d, i), {"equal_words": 0})["equal_words"]:
+                n = int(fits.sum())
+                best[d, i] = {"equal_words": equal, "changed_slots": n - equal, "item_id": self.ids[i],
+                              "start_word": int(p[fits][0] - start[d]), "n_words": n}
         for (d, _), found in sorted(best.items()):
             leaks[d].append(found)
         return leaks
 
-    def check(self, plain, typed, slot, item_plain, item_typed) -> dict | None:
-        """Words equal plainly, slots changed; None when a word or a slot does not fit."""
+    @staticmethod
+    def check(plain, typed, slot, item_plain, item_typed, same, places) -> np.ndarray:
+        """Which places of an alignment count: those of plain windows (``same``) and the runs
+        whose words fit and whose slots agree with all that counts already."""
         equal = plain == item_plain
-        if not np.all(equal | (typed == item_typed)):
-            return None
+        fits = same & equal
         there: dict[int, int] = {}
         back: dict[int, int] = {}
-        for a, b in zip(item_plain[slot == SLOT].tolist(), plain[slot == SLOT].tolist()):
-            if there.setdefault(a, b) != b or back.setdefault(b, a) != a:
-                return None
-        if equal.sum() < self.min_words:
-            return None
-        return {"equal_words": int(equal.sum()), "changed_slots": int((~equal).sum())}
+
+        def agree(at: np.ndarray) -> bool:
+            new, old = {}, {}
+            for a, b in zip(item_plain[at].tolist(), plain[at].tolist()):
+                if there.get(a, new.setdefault(a, b)) != b or back.get(b, old.setdefault(b, a)) != a \
+                        or new[a] != b or old[b] != a:
+                    return False
+            there.update(new), back.update(old)
+            return True
+
+        agree(np.flatnonzero(fits & (slot == SLOT)))  # equal words always agree
+        runs = np.split(np.arange(len(places)), np.flatnonzero(np.diff(places) > 1) + 1)
+        for run in sorted(runs, key=lambda r: -int(equal[r].sum())):
+            if np.all(equal[run] | (typed[run] == item_typed[run])) and agree(run[slot[run] == SLOT]):
+                fits[run] = True
+        return fits
 
 
 LEAK = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("start_word", T.LongType()),
