@@ -143,3 +143,11 @@ def test_slot_conflicts_against_definition(spark, frame):
     want = {(i, i): counting(t, d) for i, (t, d) in enumerate(zip(items, docs))}
     assert {k: (x.equal_words, x.changed_slots) for k, x in got.items()} == {k: v for k, v in want.items() if v}
     assert 10 < len(got) <= 30
+
+
+def test_short_questions_with_other_slots(spark, frame):
+    """Items with fewer literal words than ``min_words``: all of them and consistent slots are enough."""
+    bench = bench_of(spark, [(1, "What is 12 plus 7", ""), (2, "12 13 14 15 16", ""), (3, "Ann adds 3 and 3 km", "")])
+    docs = ["so What is 31 plus 8 then", "What was 31 plus 8", "x 31 32 33 34 35 y", "x 12 13 14 15 16 y",
+            "Bob adds 4 and 4 km", "Bob adds 4 and 5 km"]
+    assert set(leaks(frame(list(enumerate(docs))), bench)) == {(0, 1), (3, 2), (4, 3)}

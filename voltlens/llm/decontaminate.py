@@ -11,7 +11,8 @@ Its words are verified one by one. Plain windows count by themselves. What templ
 add is checked by run (a stretch of windows that overlap or adjoin): a placeholder's old value
 must always map to the same new value and different values to different ones, within the run,
 with the plain windows and with the runs of more equal words; a run that does not fit adds
-nothing. An alignment counts when at least ``min_words`` of its words are plainly equal.
+nothing. An alignment counts when at least ``min_words`` of its words are plainly equal, one of
+a whole item when all words without a slot are (one at least), should the item have fewer.
 
 The benchmark is read in blocks of bounded size (``BLOCK_CHARS``); each block's table is
 sent to the tasks, a larger benchmark takes more passes, documents are never shuffled.
@@ -141,6 +142,9 @@ class Benchmark:
         self.ids, self.min_words = ids, min_words
         self.plain, self.typed, self.slot, counts = Words().read(texts)
         self.start = np.concatenate([[0], np.cumsum(counts)])
+        literals = np.concatenate([[0], np.cumsum(self.slot == LITERAL)])[self.start]
+        #: Equal words that an alignment of the whole item needs.
+        self.whole = [min(min_words, n) if n else min_words for n in np.diff(literals).tolist()]
         rows: dict[int, list] = defaultdict(list)
         for i, n in enumerate(counts):
             if n < min_words:
@@ -181,9 +185,9 @@ class Benchmark:
             p = np.array(sorted(same | alike))
             q = p - shift + int(self.start[i])
             fits = self.check(plain[p], typed[p], slot[p], self.plain[q], self.typed[q], np.isin(p, list(same)), p)
-            equal = int((plain[p] == self.plain[q])[fits].sum())
-            if equal >= self.min_words and equal > best.get((d, i), {"equal_words": 0})["equal_words"]:
-                n = int(fits.sum())
+            equal, n = int((plain[p] == self.plain[q])[fits].sum()), int(fits.sum())
+            need = self.whole[i] if n == self.start[i + 1] - self.start[i] else self.min_words
+            if equal >= need and equal > best.get((d, i), {"equal_words": 0})["equal_words"]:
                 best[d, i] = {"equal_words": equal, "changed_slots": n - equal, "item_id": self.ids[i],
                               "start_word": int(p[fits][0] - start[d]), "n_words": n}
         for (d, _), found in sorted(best.items()):
