@@ -96,3 +96,30 @@ def test_edges(frame, edge, model):
     assert langid.predict(frame([]), model).count() == 0
     empty = langid.fit(frame([(3, "text", None), (None, "text", "en"), (5, None, "en")]))
     assert [r.lang_pred for r in langid.predict(frame([(1, "text")]), empty).collect()] == ["und"]
+
+
+def test_few_long_texts_are_learned_in_pieces(frame, corpus):
+    """A language of few texts, each longer than ``fit_chars``."""
+    rng = random.Random(6)
+    long = [(1000 + i, "zug " * 20 + prose(rng, "de", 4000), "xx") for i in range(12)]
+    rows = [r for r in corpus if r[2] != "de"] + long
+    model = langid.fit(frame(rows), fit_rows=100, fit_chars=8000)
+    assert model.languages == ["en", "fr", "xx"]
+    got = langid.predict(frame(long), model).collect()
+    assert all(r.lang_pred == "xx" and not r.rejected for r in got)
+
+
+def test_languages_of_one_text_and_of_copies_are_learned(frame):
+    rng = random.Random(7)
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 3 != 1]
+    single = [(i, prose(rng, "fr", 30), f"l{i}") for i in ids[:30]]
+    copies = [(i, "ein text", "de") for i in range(1000, 3000)] + [(i, prose(rng, "de", 20), "de") for i in range(3000, 3040)]
+    model = langid.fit(frame(single + copies), fit_rows=30)
+    assert set(model.languages) == {k for _, _, k in single} | {"de"}
+    drawn = langid.draw(langid.pick(frame(copies), {"lang": "lang", "text": "text"}), 30, 10 ** 6).collect()
+    assert len(drawn) == len({r.text for r in drawn}) == 30 and sum(r.counts for r in drawn) == 24
+
+
+def test_piece_length():
+    assert langid.piece_length([5, 7], 100) == 7 and langid.piece_length([5, 50, 50], 45) == 20
+    assert langid.piece_length([10 ** 6] * 3, 1) == 1

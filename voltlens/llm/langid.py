@@ -8,13 +8,14 @@ stored in sorted arrays of 64-bit hashes with one column per language, looked up
 binary search. A text gets the language of lowest cross-entropy per character.
 
 Rejection is calibrated on the sampled rows that are kept out of the counts (one of
-``CALIBRATE``): a text is rejected when its cross-entropy exceeds its language's median there
+``CALIBRATE``, where a language has ``CALIBRATE_FROM`` at least): a text is rejected when its cross-entropy exceeds its language's median there
 by more than ``REJECT_MARGIN`` times the 99.9 % quantile of the length-scaled excess; a language
 without such rows rejects nothing.
 
-The fit uses a bounded sample, drawn by a hash of the id at one rate per language:
-about ``fit_rows`` rows and ``fit_chars`` characters of each language, equal texts once;
-that bounds the n-grams collected and sent to the tasks. Scoring reads every whole text.
+The fit uses a bounded sample: of each language the ``fit_rows`` distinct texts with a letter whose
+hashes are lowest, or all; where they have more than ``fit_chars`` characters together, a piece
+of each longer one (of one length per language, from a place given by the hash). That bounds
+the n-grams collected and sent to the tasks. Scoring reads every whole text.
 
 Cases: a text that is null or has no letter is ``und`` with score 0 and is rejected; ties go
 to the first language by name; repeated rows score alike; rows of null language or id are
@@ -36,6 +37,8 @@ ORDER = 5
 REJECT_MARGIN = 3.0
 #: One of so many sampled rows calibrates.
 CALIBRATE = 5
+#: Sampled rows from which a language spares some for that.
+CALIBRATE_FROM = 10
 #: Characters below which the spread of a text's cross-entropy is taken to shrink with length.
 SETTLED = 400
 UNKNOWN = "und"
@@ -248,18 +251,48 @@ def learned(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 != 1
 
 
+def piece_length(sizes: list[int], total: int) -> int:
+    """Largest length such that pieces of at most that length have ``total`` characters together."""
+    left = sorted(sizes)
+    for k, n in enumerate(left):
+        if n * (len(left) - k) > total:
+            return max(1, total // (len(left) - k))
+        total -= n
+    return left[-1]
+
+
+def draw(rows: DataFrame, fit_rows: int, fit_chars: int) -> DataFrame:
+    """``(lang, text, counts)``: the sample; rows have lang and text."""
+    rows = rows.where(F.col("text").rlike(r"\p{L}"))
+    rows = rows.select("lang", "text", F.xxhash64(F.lit(6), "text").alias("h"))
+    texts = materialize(rows.groupBy("lang", "h").agg(F.max(F.length("text")).alias("chars")), "langid_texts")
+    below = F.lit(None).cast("long")
+    for r in texts.groupBy("lang").agg(F.count("*").alias("n")).collect():
+        some = fit_rows + 6 * fit_rows ** 0.5 + 10  # hashes below hold fit_rows texts, all but surely
+        edge = (1 << 63) - 1 if r.n <= some else int(some / r.n * (1 << 64)) - (1 << 63)
+        below = F.when(F.col("lang") == r.lang, F.lit(edge)).otherwise(below)
+    lowest: dict[str, list] = {}
+    for r in texts.where(F.col("h") <= below).toLocalIterator():
+        lowest.setdefault(r.lang, []).append((r.h, r.chars))
+    drawn = []
+    for lang, own in sorted(lowest.items()):
+        own = sorted(own)[:fit_rows]
+        longest = piece_length([n for _, n in own], fit_chars)
+        for k, (h, n) in enumerate(own):
+            size = min(n, longest)
+            counts = len(own) < CALIBRATE_FROM or k % CALIBRATE > 0
+            drawn.append((lang, h, 1 + h % (n - size + 1), size, counts))
+    chosen = rows.sparkSession.createDataFrame(drawn, "lang string, h long, first int, size int, counts boolean")
+    piece = F.substring("text", F.col("first"), F.col("size"))
+    sample = rows.join(F.broadcast(chosen), ["lang", "h"]).select("lang", "h", piece.alias("text"), "counts")
+    return materialize(sample.dropDuplicates(["lang", "h"]).select("lang", "text", "counts"), "langid")
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         fit_rows: int = 1200, fit_chars: int = 3_000_000) -> Model:
     rows = pick(docs, {"doc_id": id_col, "text": text_col, "lang": lang_col})
     rows = rows.where(learned(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")).collect()
-    rate, million = F.lit(0), 1_000_000
-    for r in sizes:  # one rate per language, in millionths
-        share = min(1.0, fit_rows / r.n, fit_chars / max(r.chars, 1))
-        rate = F.when(F.col("lang") == r.lang, int(share * million)).otherwise(rate)
-    sample = rows.where(F.pmod(F.xxhash64(F.lit(6), "doc_id"), F.lit(million)) < rate).dropDuplicates(["lang", "text"])
-    counts = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(CALIBRATE)) > 0
-    sample = materialize(sample.select("lang", "text", counts.alias("counts")), "langid")
+    sample = draw(rows, fit_rows, fit_chars)
     grams: dict[str, tuple[list, list]] = {}
     for r in count_grams(sample.where("counts")).toLocalIterator():
         g, n = grams.setdefault(r.lang, ([], []))
