@@ -6,8 +6,9 @@ opaque values (20 and more mixed letters and digits, or hex of 8 to 15 character
 candidate is reported only when a complementary part lies within its scope, the
 ``scope_chars`` characters around it: an endpoint or account needs a secret or opaque value
 that itself is near an access identifier or strong secret, an opaque value needs an access
-identifier, account or endpoint. Weak candidates are matches in the whole text. The parts of a text are joined as intervals on sorted
-positions; their number is bounded by the text.
+identifier, or an account or endpoint that itself is near an assigned secret or hex string. Weak
+candidates are matches in the whole text; a text without any strong part has none. The parts of a
+text are joined as intervals on sorted positions; their number is bounded by the text.
 
 Cases: null text is empty; nothing is found in an empty text; texts are scanned whole;
 offsets are code points, end exclusive; equal texts give equal rows; an empty table gives
