@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voltlens.llm import (byte_bpe, decontaminate, langid, licenses, repeats, secrets, sharding, simhash, topk,
-                          toxicity)
+from voltlens.llm import (byte_bpe, decontaminate, fp_search, langid, licenses, merkle, ngram_join, repeats, secrets,
+                          sharding, simhash, topk, toxicity)
 from voltlens.llm.common import pick, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -82,9 +82,23 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(documents(spark, sf_dir), shingle_words=3, percent=90)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 0
+    return merkle.verify(table(spark, sf_dir, "documents"), fanout=8, tampered=tampered)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fp_search.ranked_search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_shard_shuffle, op3_benchmark_decontamination, op4_secret_scan, op5_suffix_dedup,
-    op6_language_id, op7_exact_top_k, op8_byte_bpe, op9_toxicity, op10_license_scan)}
+    op6_language_id, op7_exact_top_k, op8_byte_bpe, op9_toxicity, op10_license_scan, op11_ngram_jaccard_join,
+    op12_merkle_manifest, op13_ranked_search)}
 
 SQL: dict[str, str] = {
     "op5_suffix_dedup": """
@@ -115,6 +129,91 @@ SQL: dict[str, str] = {
         ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
                    FROM pairs)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op11_ngram_jaccard_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS w FROM documents),
+        sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                 ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+                 END AS s FROM words),
+        cells AS (SELECT doc_id, len(s) AS n, unnest(s) AS c FROM sets),
+        met AS (SELECT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny, count(*) AS o
+                FROM cells a JOIN cells b ON a.c = b.c AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+                GROUP BY ALL),
+        links AS (SELECT x, y FROM met WHERE 100 * o >= 90 * (nx + ny - o)),
+        reach(doc_id, root) AS (SELECT doc_id, doc_id FROM documents
+                                UNION SELECT y, root FROM reach JOIN links ON reach.doc_id = links.x),
+        low AS (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id),
+        degree AS (SELECT x, count(*) AS k FROM links GROUP BY x)
+        SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, component_id, CAST(coalesce(k, 0) AS BIGINT) AS n_links
+        FROM sets s JOIN low ON s.doc_id = low.doc_id LEFT JOIN degree ON s.doc_id = degree.x""",
+    "op12_merkle_manifest": """
+        WITH RECURSIVE crc AS (
+            SELECT *, list_reduce([4294967295] || flatten(list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1),
+                   lambda i: [CAST(ord(substr(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])),
+                   lambda a, x: xor(xor(a, x) >> 1, CASE WHEN xor(a, x) % 2 = 1 THEN 3988292384 ELSE 0 END)) AS c
+            FROM documents),
+        texts AS (SELECT *, CASE WHEN xor(c, 4294967295) % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz') ELSE text END AS altered FROM crc),
+        heads AS (SELECT *, concat(
+                  coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-'),
+                  coalesce(octet_length(encode(source)) || ':' || source, '-'),
+                  coalesce(octet_length(encode(lang)) || ':' || lang, '-'),
+                  coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || n_chars, '-')) AS head FROM texts),
+        leaves AS (SELECT doc_id, lang, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+                   sha256(head || coalesce(octet_length(encode(altered)) || ':' || altered, '-')) AS held FROM heads),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id, leaf) - 1 AS place,
+                   count(*) OVER (PARTITION BY lang) AS size FROM leaves),
+        tree(lang, h, idx, size, hash) AS (
+            SELECT lang, 0, place, size, leaf FROM placed
+            UNION ALL
+            SELECT lang, h + 1, idx // 8, (size + 7) // 8, sha256(string_agg(hash, '' ORDER BY idx))
+            FROM tree WHERE size > 1 GROUP BY lang, h, idx // 8, size),
+        runs AS (SELECT lang, h, idx // 8 AS up, list(hash ORDER BY idx) AS kids FROM tree WHERE size > 1 GROUP BY ALL),
+        climb(doc_id, lang, h, idx, folded, proof) AS (
+            SELECT doc_id, lang, 0, place, held, '' FROM placed
+            UNION ALL
+            SELECT doc_id, c.lang, c.h + 1, idx // 8,
+                   sha256(array_to_string(kids[1:idx % 8] || [folded] || kids[idx % 8 + 2:], '')),
+                   proof || array_to_string(kids[1:idx % 8] || kids[idx % 8 + 2:], '')
+            FROM climb c JOIN runs r ON c.lang IS NOT DISTINCT FROM r.lang AND c.h = r.h AND c.idx // 8 = r.up),
+        subroots AS (SELECT lang, h, hash, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS place, count(*) OVER () AS size
+                     FROM tree WHERE size = 1),
+        top(h, idx, size, hash) AS (
+            SELECT 0, place, size, hash FROM subroots
+            UNION ALL
+            SELECT h + 1, idx // 8, (size + 7) // 8, sha256(string_agg(hash, '' ORDER BY idx))
+            FROM top WHERE size > 1 GROUP BY h, idx // 8, size),
+        top_runs AS (SELECT h, idx // 8 AS up, list(hash ORDER BY idx) AS kids FROM top WHERE size > 1 GROUP BY ALL),
+        ascent(doc_id, subroot, h, idx, folded, proof) AS (
+            SELECT doc_id, s.hash, 0, s.place, folded, proof
+            FROM climb c JOIN subroots s ON c.lang IS NOT DISTINCT FROM s.lang AND c.h = s.h
+            UNION ALL
+            SELECT doc_id, subroot, a.h + 1, idx // 8,
+                   sha256(array_to_string(kids[1:idx % 8] || [folded] || kids[idx % 8 + 2:], '')),
+                   proof || array_to_string(kids[1:idx % 8] || kids[idx % 8 + 2:], '')
+            FROM ascent a JOIN top_runs r ON a.h = r.h AND a.idx // 8 = r.up),
+        root AS (SELECT h, hash FROM top WHERE size = 1)
+        SELECT a.doc_id, p.leaf, a.subroot, r.hash AS root, sha256(a.proof) AS proof_sha256, a.folded AS folded_root,
+               a.folded = r.hash AS verified
+        FROM ascent a JOIN root r ON a.h = r.h JOIN placed p ON a.doc_id = p.doc_id""",
+    "op13_ranked_search": r"""
+        WITH found AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+        tfs AS (SELECT doc_id, term, count(*) AS tf FROM found GROUP BY ALL),
+        lens AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tfs GROUP BY doc_id),
+        total AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM lens),
+        weights AS (SELECT term, CAST(floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+                    FROM tfs, total GROUP BY term, nn),
+        asked AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        wanted AS (SELECT item_id, term, count(*) AS c FROM asked GROUP BY ALL),
+        scores AS (SELECT item_id, doc_id,
+                          CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * nn) // ll))))) AS BIGINT) AS score
+                   FROM wanted JOIN weights USING (term) JOIN tfs USING (term) JOIN lens USING (doc_id), total GROUP BY ALL),
+        ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+                   FROM scores WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }
 
 
