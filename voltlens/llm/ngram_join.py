@@ -282,6 +282,9 @@ def product(sent: DataFrame, percent: int) -> DataFrame:
             if t.num_rows < 2:
                 return None
             num = lambda c: t.column(c).to_numpy().astype(np.int64)
+            across = t.column("band")[0] != t.column("band2")[0] or t.column("i")[0] != t.column("j")[0]
+            if across and len(np.unique(num("side"))) < 2:
+                return None  # one of the two blocks got no row
             out = link_block(num("key"), num("n"), num("copies"), num("side"), t.column("columns").to_pylist(), percent)
             return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["key", "star", "links"])
 
