@@ -148,14 +148,15 @@ def clusters(keyed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def block_pairs(clustered: DataFrame, sets: DataFrame, percent: int, block_rows: int, block_entries: int) -> DataFrame:
-    """``key, low, n, copies, pairs``: the block pairs that each row takes part in, with its side (0, 1)."""
+    """``key, low, n, copies, root, band, block, pairs``: each row's block, and the block pairs that the block
+    takes part in with its side (0, 1)."""
     rows = materialize(clustered.join(sets, "key"), "clustered")
     size = [F.count("*").alias("rows"), F.sum("n").alias("entries")]
     need = F.ceil(F.greatest(F.col("rows") / block_rows, F.col("entries") / block_entries)).cast("int")
     whole = rows.groupBy("root").agg(*size).select("root", (need <= 1).alias("whole"))
     rows = rows.join(whole, "root")
-    one = rows.where("whole").withColumn("pairs", F.array(F.struct(
-        *(F.lit(0).alias(c) for c in ("band", "i", "band2", "j", "side")))))
+    one = rows.where("whole").withColumns({"band": F.lit(0), "block": F.lit(0), "pairs": F.array(F.struct(
+        *(F.lit(0).alias(c) for c in ("band", "i", "band2", "j", "side"))))})
     # neighbours reach a little further than the ratio, so rounding loses no pair
     step = math.log(100 / percent) * 1.0001 if percent < 100 else 1.0
     cut = rows.where("not whole").withColumn("band", F.floor(F.log("n") / step).cast("int"))
@@ -175,7 +176,7 @@ def block_pairs(clustered: DataFrame, sets: DataFrame, percent: int, block_rows:
         each(F.col("k"), lambda j: (band, F.least(b, j), band, F.greatest(b, j), (b > j).cast("int"))),
         each(F.col("k_more"), lambda j: (band, b, band + 1, j, F.lit(0))),
         each(F.col("k_less"), lambda j: (band - 1, j, band, b, F.lit(1)))))
-    names = ["key", "low", "n", "copies", "root", "pairs"]
+    names = ["key", "low", "n", "copies", "root", "band", "block", "pairs"]
     return materialize(one.select(*names).union(cut.select(*names)), "pairs")
 
 
@@ -196,8 +197,8 @@ def overlaps(col: np.ndarray, row: np.ndarray, side: np.ndarray, n: np.ndarray,
     starts, counts = starts[counts > 1], counts[counts > 1]
     met = np.repeat(starts - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
     left = np.bincount(row[met.astype(np.int64)], minlength=len(n))  # columns still to come, by row
-    total = n[a][:, None] + n[b][None, :]
-    need = -(-percent * total // (100 + percent))
+    need = (-(-percent * (n[a][:, None] + n[b][None, :]) // (100 + percent))).astype(np.int32)
+    left = left.astype(np.int32)
     acc = np.zeros((len(a), len(b)), np.int32)
     alive = np.minimum(left[a][:, None], left[b][None, :]) >= need
     if a is b:
@@ -227,7 +228,7 @@ def overlaps(col: np.ndarray, row: np.ndarray, side: np.ndarray, n: np.ndarray,
         c = np.repeat(np.arange(len(some)), counts[some])
         m = np.zeros((len(n), len(some)), np.float32)
         m[r, c] = 1
-        left -= np.bincount(r, minlength=len(n))
+        left -= np.bincount(r, minlength=len(n)).astype(np.int32)
         acc[np.ix_(ra, rb)] += (m[a[ra]] @ m[b[rb]].T).astype(np.int32)
     return alive & (acc >= need), a, b
 
@@ -269,48 +270,79 @@ def link_block(keys: np.ndarray, n: np.ndarray, copies: np.ndarray, side: np.nda
     return keys[some], keys[root[some]], links[some]
 
 
-def product(sent: DataFrame, percent: int) -> DataFrame:
-    """``key, star, links`` by block pair; the rows of a pair follow each other in their partition."""
-    group = ["root", "band", "i", "band2", "j"]
-    parts = int(sent.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = sent.repartition(parts, *group).sortWithinPartitions(*group).select(
-        *group, "key", "n", "copies", "side", "columns")
+GROUP = ["root", "band", "i", "band2", "j"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def result(parts):
-            t = pa.Table.from_batches(parts)
-            if t.num_rows < 2:
-                return None
-            num = lambda c: t.column(c).to_numpy().astype(np.int64)
-            across = t.column("band")[0] != t.column("band2")[0] or t.column("i")[0] != t.column("j")[0]
-            if across and len(np.unique(num("side"))) < 2:
-                return None  # one of the two blocks got no row
-            out = link_block(num("key"), num("n"), num("copies"), num("side"), t.column("columns").to_pylist(), percent)
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["key", "star", "links"])
 
-        now, held = None, []
+def packed(sent: DataFrame) -> DataFrame:
+    """One compressed record for the rows of a block that meet in a batch, for every pair of the block. Near
+    copies share most columns, so a record is a small part of its rows."""
+    schema = "root long, band int, i int, band2 int, j int, side int, size int, record binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = np.stack([batch.column(i).to_numpy() for i in range(len(group))])
-            cuts = [0, *(np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            t = pa.Table.from_batches([batch]).sort_by([(c, "ascending") for c in ("root", "band", "block", "key")])
+            place = np.stack([t.column(c).to_numpy() for c in ("root", "band", "block")])
+            cuts = [0, *(np.flatnonzero((place[:, 1:] != place[:, :-1]).any(axis=0)) + 1).tolist(), t.num_rows]
+            num = [t.column(c).to_numpy().astype("<i8") for c in ("key", "n", "copies")]
+            columns, out = t.column("columns").to_pylist(), []
             for lo, hi in zip(cuts, cuts[1:]):
                 if hi == lo:
                     continue
-                this = tuple(ids[:, lo].tolist())
-                if this != now and held:
-                    if (out := result(held)) is not None:
+                raw = b"".join([*(x[lo:hi].tobytes() for x in num), *columns[lo:hi]])
+                record = hi - lo, np.array([len(raw)], "<i8").tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+                root = int(place[0, lo])
+                out += [(root, p["band"], p["i"], p["band2"], p["j"], p["side"], *record) for p in t.column("pairs")[lo].as_py()]
+            kinds = [pa.int64(), *[pa.int32()] * 6, pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), kinds)] if out else
+                                             [pa.array([], k) for k in kinds], names=[*GROUP, "side", "size", "record"])
+
+    return sent.select("root", "band", "block", "pairs", "key", "n", "copies", "columns").mapInArrow(run, schema)
+
+
+def unpacked(size: int, record: bytes) -> tuple[list[np.ndarray], list[bytes]]:
+    raw = pa.decompress(record[8:], int(np.frombuffer(record[:8], "<i8")[0]), codec="zstd", asbytes=True)
+    num = np.frombuffer(raw[:24 * size], "<i8").reshape(3, size)
+    ends = 24 * size + 8 * np.cumsum(num[1])
+    return list(num), [raw[e - 8 * n:e] for e, n in zip(ends.tolist(), num[1].tolist())]
+
+
+def product(sent: DataFrame, percent: int) -> DataFrame:
+    """``key, star, links`` by block pair; the records of a pair follow each other in their partition."""
+    parts = int(sent.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = packed(sent).repartition(parts, *GROUP).sortWithinPartitions(*GROUP)
+
+    def result(group: tuple, records: list[tuple[int, int, bytes]]) -> pa.RecordBatch | None:
+        across = group[1] != group[3] or group[2] != group[4]
+        if across and len({side for side, _, _ in records}) < 2:
+            return None  # one of the two blocks got no row
+        key, n, copies, side, columns = [], [], [], [], []
+        for s, size, record in records:
+            num, cols = unpacked(size, record)
+            key.append(num[0]), n.append(num[1]), copies.append(num[2]), side.append(np.full(size, s))
+            columns += cols
+        if len(columns) < 2:
+            return None
+        out = link_block(*(np.concatenate(x) for x in (key, n, copies, side)), columns, percent)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["key", "star", "links"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            for *group, side, size, record in zip(*(c.to_pylist() for c in batch.columns)):
+                if group != now:
+                    if held and (out := result(now, held)) is not None:
                         yield out
-                    held = []
-                now = this
-                held.append(batch.slice(lo, hi - lo))
-        if held and (out := result(held)) is not None:
+                    now, held = group, []
+                held.append((side, size, record))
+        if held and (out := result(now, held)) is not None:
             yield out
 
     return dealt.mapInArrow(run, "key long, star long, links long")
 
 
 def with_columns(docs: DataFrame, pairs: DataFrame, width: int, seed: int, percent: int) -> DataFrame:
-    """The rows of ``pairs``, each with its columns, once for every block pair. Texts are hashed again
-    where they lie; a bit table of fixed size keeps rows without a cluster out of the shuffle."""
+    """The rows of ``pairs`` with their columns. Texts are hashed again where they lie; a bit table
+    of fixed size keeps rows without a cluster out of the shuffle."""
 
     def make():
         def work(texts):
@@ -328,9 +360,7 @@ def with_columns(docs: DataFrame, pairs: DataFrame, width: int, seed: int, perce
     likely = sets.where("key IS NOT NULL").withColumn("w", word).withColumn("h", h).withColumn("bit", bit).join(
         F.broadcast(bits), "w").where(F.col("bits").bitwiseAND(F.col("bit")) != 0).select("doc_id", "key", "columns")
     place = pairs.withColumnRenamed("key", "row")
-    sent = likely.join(place, (F.col("key") == F.col("row")) & F.col("doc_id").eqNullSafe(F.col("low")))
-    return sent.select("root", "key", "n", "copies", "columns", F.explode("pairs").alias("p")).select(
-        "root", "key", "n", "copies", "columns", "p.*")
+    return likely.join(place, (F.col("key") == F.col("row")) & F.col("doc_id").eqNullSafe(F.col("low")))
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3,
