@@ -53,6 +53,8 @@ EXTRA = 10
 #: Columns met by more rows of a block pair are multiplied densely.
 DENSE_FROM = 48
 DENSE_COLUMNS = 512
+#: A table of clustered rows of at most this many rows (about 200 bytes each) is broadcast.
+BROADCAST_ROWS = 100_000
 #: Words of the bit table that holds which rows are in a cluster (64 bits each).
 FILTER_WORDS = 1 << 18
 
@@ -360,6 +362,8 @@ def with_columns(docs: DataFrame, pairs: DataFrame, width: int, seed: int, perce
     likely = sets.where("key IS NOT NULL").withColumn("w", word).withColumn("h", h).withColumn("bit", bit).join(
         F.broadcast(bits), "w").where(F.col("bits").bitwiseAND(F.col("bit")) != 0).select("doc_id", "key", "columns")
     place = pairs.withColumnRenamed("key", "row")
+    if pairs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:  # else both sides are shuffled
+        place = F.broadcast(place)
     return likely.join(place, (F.col("key") == F.col("row")) & F.col("doc_id").eqNullSafe(F.col("low")))
 
 
