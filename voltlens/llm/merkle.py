@@ -170,15 +170,17 @@ def climb(leaves: DataFrame, nodes: DataFrame, fanout: int = 8) -> DataFrame:
     before = spark.conf.get(limit, None)
     spark.conf.set(limit, "-1")  # the rows are bounded by leaves times levels
     try:
-        steps = materialize(spark.sql(CLIMB.format(leaves="{leaves}", nodes="{nodes}", stride=fanout ** SPREAD),
-                                      leaves=leaves, nodes=nodes), "climb")
+        steps = spark.sql(CLIMB.format(leaves="{leaves}", nodes="{nodes}", stride=fanout ** SPREAD), leaves=leaves, nodes=nodes)
+        # neighbours have most siblings in common: side by side they take little room in files and shuffles
+        steps = materialize(steps.sortWithinPartitions("node", "number"), "climb")
     finally:
         spark.conf.unset(limit) if before is None else spark.conf.set(limit, before)
     # a step's height is in the low bits of its node's number
-    step = F.struct(F.col("node").bitwiseAND(F.lit(63)).alias("height"), F.hex("siblings").alias("digests"))
-    found = steps.groupBy("number").agg(F.collect_list(F.when(F.col("node") > 0, step)).alias("steps"),
+    step = F.struct(F.col("node").bitwiseAND(F.lit(63)).alias("height"), "siblings")
+    near = steps.withColumn("block", F.expr(f"number div {fanout ** SPREAD}")).repartition("block")
+    found = near.groupBy("block", "number").agg(F.collect_list(F.when(F.col("node") > 0, step)).alias("steps"),
                                         F.max("top").alias("top"))
-    proof = F.array_join(F.transform(F.sort_array("steps"), lambda s: s["digests"]), "")
+    proof = F.array_join(F.transform(F.sort_array("steps"), lambda s: F.hex(s["siblings"])), "")
     return found.select("number", F.sha2(F.lower(proof), 256).alias("proof_sha256"), F.lower(F.hex("top")).alias("folded_root"))
 
 
