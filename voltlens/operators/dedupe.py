@@ -1,10 +1,9 @@
 """Duplicates: distinct, keep-first, counts and flags.
 
-Keep-first is an aggregation (``min`` of a struct led by the ingest ordinal)
-rather than ``row_number`` over a window: rows are combined map-side, so a key
-that holds a third of the table never lands whole in one task. A struct has no
-fixed-width buffer, so Spark sorts by the keys on both sides of the shuffle
-(sort aggregate). Group sizes are a ``count`` joined back; adaptive execution
+Keep-first is a hash aggregation (``min`` of the BIGINT ingest ordinal) rather than
+``row_number`` over a window: ordinals are combined map-side, so a key that holds a
+third of the table never lands whole in one task, and only the keys that occur
+more than once are joined back to the rows. Group sizes are a ``count`` joined back; adaptive execution
 splits a skewed join partition, and NULL keys of a single column are counted
 apart, without a join.
 """
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 
 from voltlens.functions.schema import q
 from voltlens.functions.scalars import is_missing_text
+from voltlens.operators.prefix import broadcast_checked
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -23,23 +23,41 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def keep_first(df: DataFrame, keys, order_col: str = "_ord", keep_order: bool = True) -> DataFrame:
-    """First row per ``keys`` by ``order_col`` (an ingest ordinal).
+def row_hash(df: DataFrame, names=None) -> "F.Column":
+    """64-bit hash of a row's columns."""
+    return F.xxhash64(*[F.col(q(c)) for c in names or df.columns])
 
-    Ties on the ordinal fall to the next columns, so the result is repeatable.
-    The ordinal column is kept when ``keep_order`` (later steps may need it).
+
+def keep_first(df: DataFrame, keys, order_col: str | None = "_ord", keep_order: bool = True, unique: bool = True) -> DataFrame:
+    """First row per ``keys`` by ``order_col``, a BIGINT ordinal that no two rows share (see
+    ``files.with_ordinal``). NULL keys are equal.
+
+    A hash aggregation finds the keys with more than one row and their first ordinal; only
+    these are joined back (broadcast when they are few, by shuffle beyond), so neither
+    rows nor text are sorted. The ordinal column is kept when ``keep_order``.
+
+    ``unique=False``: rows may share an ordinal (a join has repeated them) or have none
+    (``order_col=None``); the smallest row hash then decides, so the result is repeatable.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    others = [c for c in df.columns if c not in keys and c != order_col]
-    if not others:
-        first = df.groupBy(*[q(k) for k in keys]).agg(F.min(order_col).alias(order_col))
+    if not unique or order_col is None:
+        # ordinal and hash side by side in one fixed-width number
+        wide = F.lit(0) if order_col is None else F.col(q(order_col))
+        packed = wide.cast("decimal(19,0)") * F.lit("18446744073709551616").cast("decimal(20,0)") + row_hash(df).cast("decimal(20,0)")
+        first = keep_first(df.withColumn("_vl_packed", packed.cast("decimal(38,0)")), keys, "_vl_packed", False).distinct()
+        return first if keep_order or order_col is None else first.drop(order_col)
+    low = F.min(F.col(q(order_col)))
+    if not [c for c in df.columns if c not in keys and c != order_col]:
+        first = df.groupBy(*[q(k) for k in keys]).agg(low.alias(order_col)).select(*[q(c) for c in df.columns])
         return first if keep_order else first.drop(order_col)
-    packed = F.min(F.struct(F.col(order_col), *[F.col(q(c)) for c in others])).alias("_vl_first")
-    out = df.groupBy(*[q(k) for k in keys]).agg(packed)
-    cols = [F.col(q(k)) for k in keys] + [F.col(f"_vl_first.{q(c)}").alias(c) for c in others]
-    if keep_order:
-        cols.append(F.col(f"_vl_first.{order_col}").alias(order_col))
-    out = out.select(*cols)
+    several = df.groupBy(*[F.col(q(k)).alias(f"_vl_k{i}") for i, k in enumerate(keys)]).agg(
+        low.alias("_vl_first"), F.count(F.lit(1)).alias("_vl_n")).where("_vl_n > 1").drop("_vl_n")
+    cond = None
+    for i, k in enumerate(keys):
+        same = F.col(q(k)).eqNullSafe(F.col(f"_vl_k{i}"))
+        cond = same if cond is None else cond & same
+    out = df.join(broadcast_checked(several), cond, "left")
+    out = out.where(F.col("_vl_first").isNull() | (F.col(q(order_col)) == F.col("_vl_first")))
     return out.select(*[q(c) for c in df.columns if keep_order or c != order_col])
 
 

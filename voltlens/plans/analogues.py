@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from voltlens.functions.scalars import explode_codes
 from voltlens.operators.prefix import dense_codes
 from voltlens.session import table_path
+from voltlens.sources.files import read_table
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,20 +84,14 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Ingest order of the EAV analogue: lineitem rows by these columns.
-EAV_ORDER = ["l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice",
-             "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
-
-
 def plain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """EAV rows (odt, id, value) with ``_ord``, a struct that orders rows like
-    the ingest ordinal (comparable, unique up to identical rows)."""
-    li = read(spark, sf_dir, "lineitem")
+    """EAV rows (odt, id, value) with their BIGINT ingest ordinal ``_ord``."""
+    li = read_table(spark, table_path(sf_dir, "lineitem"), ordinal="_ord")
     return li.select(
         F.col("l_orderkey").alias("odt"),
         F.col("l_linenumber").alias("id"),
         F.col("l_quantity").cast("string").alias("value"),
-        F.struct(*[F.col(c) for c in EAV_ORDER]).alias("_ord"),
+        "_ord",
     )
 
 
@@ -139,8 +134,7 @@ SQL = {
         FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "plain": """
         SELECT l_orderkey AS odt, l_linenumber AS id, CAST(l_quantity AS VARCHAR) AS value,
-               row_number() OVER (ORDER BY l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice,
-                                  l_discount, l_tax, l_returnflag, l_linestatus) AS ord
+               row_number() OVER () AS ord
         FROM lineitem""",
     "uid_conversion": "SELECT o_orderkey AS uid, o_orderkey AS orden FROM orders",
 }

@@ -28,7 +28,7 @@ def register(name: str, sql: str | None = None):
 
 def _load_all() -> None:
     # importing the modules fills the registry
-    from voltlens.plans import q_core, q_clean, q_funcs, q_model, q_eval, q_io, q_joins  # noqa: F401
+    from voltlens.plans import q_core, q_clean, q_funcs, q_model, q_boost, q_eval, q_io, q_joins  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:

@@ -72,6 +72,7 @@ ITEM_TYPES = {
     1292: "double", 1298: "double", 69: "string", 1331: "string", 202: "double", 1349: "double",
 }
 
+# Columns of the yearly dataset before its items.
 BASE_COLUMNS = ["item_288", "PLAN_COMERCIAL", "NIVEL", "LATI_USU", "LONG_USU", "AREA", "ZONA",
                 "Descripcion", "odt", "orden"]
 
@@ -95,8 +96,9 @@ def yearly_anomalies(anomalies: DataFrame, target_year: int, year_col: str = "a
 def process_data(anomalies: DataFrame, users: DataFrame, plain: DataFrame, uid_conversion: DataFrame,
                  target_year: int, item_ids=tuple(ITEM_TYPES), item_types: dict[str, str] | None = None,
                  zone_item: int = 1, customer_item: int = 288, order_col: str = "_ord",
-                 constant_year: bool = False) -> DataFrame:
-    """Yearly dataset.
+                 constant_year: bool = False, keep_order: bool = False) -> DataFrame:
+    """Yearly dataset. With ``keep_order`` the zone rows' ingest ordinal stays, so that the
+    cleaning can keep the first row in file order.
 
     zone rows of the EAV table -> customer number (J5, first value per work
     order, non-numeric dropped) -> users (J1, inner) -> id translation (J2,
@@ -105,7 +107,7 @@ def process_data(anomalies: DataFrame, users: DataFrame, plain: DataFrame, uid_c
     """
     require_columns(users, ["PRODUCTO", "AREA", "PLAN_COMERCIAL", "NIVEL", "LATI_USU", "LONG_USU", "ZONA"])
     require_columns(uid_conversion, ["uid", "orden"])
-    zones = plain.where(F.col("id") == F.lit(zone_item)).select("odt")
+    zones = plain.where(F.col("id") == F.lit(zone_item)).select("odt", *([order_col] if keep_order else []))
     z = eav.lookup_join(zones, plain, customer_item, "item_288", order_col=order_col)
     z = z.withColumn("item_288", nullable_long("item_288")).where(F.col("item_288").isNotNull())
 
@@ -120,7 +122,7 @@ def process_data(anomalies: DataFrame, users: DataFrame, plain: DataFrame, uid_c
     an = joins.coerce_key(an, "Orden")
     m = joins.join_renamed(zuid, an, "orden", "Orden", "left")
 
-    base = select_existing(m, BASE_COLUMNS)
+    base = select_existing(m, [*BASE_COLUMNS, *([order_col] if keep_order else [])])
     wide = eav.widen_join(base, plain, item_ids, order_col=order_col)
     wide = wide.withColumn("Descripcion", null_tokens_to_null("Descripcion"))
     if item_types is None:
@@ -151,7 +153,7 @@ def clean(df: DataFrame, order_col: str | None = None, dedupe_keys=("orden", "od
           categorical_defaults=CATEGORICAL_DEFAULTS, binary_cols=BINARY_COLUMNS,
           recurrence_key: str = "item_288", columns_to_keep=CLEAN_KEEP,
           fill_null_description: str | None = "Solo odt") -> DataFrame:
-    """Keep-first on (orden, odt) -> drop NULL coordinates -> booleans
+    """Keep-first on (orden, odt), by the ingest ordinal where there is one -> drop NULL coordinates -> booleans
     (NULL -> false, TRUE/SI/FALSE/NO parsed, other text NULL: D4) -> text
     defaults (D6: cast to text first) -> SI/NO indicators (D5) -> recurrence
     flag -> anomaly label (D3: NULL description filled first unless
@@ -162,10 +164,7 @@ def clean(df: DataFrame, order_col: str | None = None, dedupe_keys=("orden", "od
     from voltlens.operators.profile import drop_nulls
 
     keys = [k for k in dedupe_keys if k in df.columns]
-    if order_col is None:
-        df = df.withColumn("_vl_row", F.struct(*[F.col(q(c)) for c in df.columns]))
-        order_col = "_vl_row"
-    df = dedupe.keep_first(df, keys, order_col, keep_order=False)
+    df = dedupe.keep_first(df, keys, order_col, keep_order=False, unique=False)
     df = drop_nulls(df, [c for c in coordinate_cols if c in df.columns])
     cols = {}
     for c in boolean_cols:
@@ -198,6 +197,7 @@ def clean(df: DataFrame, order_col: str | None = None, dedupe_keys=("orden", "od
 
 # --------------------------------------------------------------------------- clustering (C5, part 1)
 
+# The zone models' feature columns.
 CLUSTER_NUM = ["LATI_USU", "LONG_USU"]
 CLUSTER_CAT = ["TRAFO_OPEN", "AREA", "PLAN_COMERCIAL", "SUB_CATEGORIA"]
 

@@ -69,12 +69,14 @@ FROM t
 
 
 def c2_input(spark, sf_dir):
-    return c1_process_data(spark, sf_dir).withColumns(_c2_derived_spark()).select(*[SC.q(c) for c in _C2_SRC])
+    """The yearly dataset with the zone rows' ingest ordinal."""
+    built = c1_process_data(spark, sf_dir, keep_order=True)
+    return built.withColumns(_c2_derived_spark()).select(*[SC.q(c) for c in _C2_SRC], "_ord")
 
 
 @register("c2_clean", V(_C2_SQL, "anomalies", "users", "plain", "uid_conversion"))
 def c2_clean(spark, sf_dir):
-    return P.clean(c2_input(spark, sf_dir))
+    return P.clean(c2_input(spark, sf_dir), order_col="_ord")
 
 
 # ----------------------------------------------------------------------------- duplicates
@@ -309,5 +311,6 @@ SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM (
 WHERE rn = 1""")
 def w3_first_row_per_key(spark, sf_dir):
     o = A.read(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
-    o = o.withColumn("_ord", F.struct("o_orderdate", "o_orderkey"))
+    # day and order number as one BIGINT that no two orders share
+    o = o.withColumn("_ord", F.unix_date(F.col("o_orderdate").cast("date")).cast("long") * (1 << 40) + F.col("o_orderkey"))
     return D.keep_first(o, ["o_custkey"], "_ord", keep_order=False)

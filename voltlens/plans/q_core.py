@@ -83,10 +83,10 @@ FROM mm LEFT JOIN wide w ON mm.odt = w.odt
 
 
 @register("c1_process_data", V(_C1_SQL, "anomalies", "users", "plain", "uid_conversion"))
-def c1_process_data(spark, sf_dir):
+def c1_process_data(spark, sf_dir, keep_order=False):
     return P.process_data(A.anomalies(spark, sf_dir), A.users(spark, sf_dir), A.plain(spark, sf_dir),
                           A.uid_conversion(spark, sf_dir), target_year=C1_YEAR, item_ids=C1_ITEMS,
-                          item_types=C1_TYPES, zone_item=1, customer_item=2)
+                          item_types=C1_TYPES, zone_item=1, customer_item=2, keep_order=keep_order)
 
 
 # ----------------------------------------------------------------------------- J9 / J5

@@ -49,11 +49,10 @@ SELECT l_orderkey, l_linenumber, l_quantity,
        row_number() OVER () AS pos FROM lineitem""")
 def s3_table_scan(spark, sf_dir):
     li = files.read_table(spark, f"{sf_dir}/lineitem.parquet", ordinal="_ord")
-    # the ordinal is (file, row in the file): rank it to a plain number
+    # the ordinal holds the file's number and the row in the file: rank it to a plain number
     from voltlens.operators.prefix import row_rank
-    r = li.select("l_orderkey", "l_linenumber", "l_quantity", F.col("_ord.file_path").alias("_file"),
-                  F.col("_ord.row_index").alias("_row"))
-    return row_rank(r, ["_file", "_row"], name="pos").drop("_file", "_row")
+    r = li.select("l_orderkey", "l_linenumber", "l_quantity", "_ord")
+    return row_rank(r, ["_ord"], name="pos").drop("_ord")
 
 
 @register("s4_optional_source", """
@@ -320,41 +319,6 @@ def s15_zone_model_store(spark, sf_dir):
     return loaded.centres_long(spark)
 
 
-@register("s16_classifier_store")
-def s16_classifier_store(spark, sf_dir):
-    from voltlens.plans.q_model import _sev_model
-    from voltlens.sources import model_store
-    d, model = _sev_model(spark, sf_dir)
-    path = scratch_path(spark, "s16")
-    model_store.save_classifier(model, path)
-    loaded = model_store.load_classifier(spark, path)
-    test = d.where(F.col("is_test"))
-    return loaded.predict(test).select("Orden", "Codigo", "puntaje", "puntaje_pred")
-
-
-# ----------------------------------------------------------------------------- jobs
-
-@register("c5_train_job")
-def c5_train_job(spark, sf_dir):
-    from voltlens.plans.jobs import train_job
-    from voltlens.plans.q_core import c3_merge_and_clean
-    r = train_job(c3_merge_and_clean(spark, sf_dir), scratch_path(spark, "c5-models"), max_iter=10,
-                  gbt_params=dict(max_iter=5, max_depth=3, max_bins=32))
-    return r.zone_scores
-
-
-@register("c6_scoring_job")
-def c6_scoring_job(spark, sf_dir):
-    from voltlens.plans.jobs import scoring_job
-    from voltlens.plans.q_core import c4_inference_dataset
-    from voltlens.plans.q_model import _train, _sev_model
-    _, prep, model, _ = _train(spark, sf_dir)
-    _, clf = _sev_model(spark, sf_dir)
-    sheet, _ = scoring_job(c4_inference_dataset(spark, sf_dir), prep, model, clf,
-                           scratch_path(spark, "c6"), RUN_TS)
-    return sheet
-
-
 # The sink's defaults, written out for the SQL twin: items that become NOAPL, NO INDICA, NO.
 _C8_DEFAULTS = {**{f"item_{i}": "'NOAPL'" for i in (597, 598, 599, 601, 602, 603)},
                 **{f"item_{i}": "'NO INDICA'" for i in (33, 35, 43, 108, 248)},

@@ -271,7 +271,7 @@ def m2_target_encoding(spark, sf_dir):
     return label_codes(A.severity(spark, sf_dir), "puntaje")
 
 
-# boosted severity model on the training set (rows-only checks: no SQL twin)
+# MLlib's boosted trees on the training set (rows-only checks: no SQL twin); the severity model is in q_boost
 # The model's feature columns.
 SEV_NUM = ["LATI_USU", "LONG_USU", "LATI_TRAFO", "LONG_TRAFO", "FASES", "KVA"]
 SEV_CAT = ["TRAFO_OPEN", "AREA", "PLAN_COMERCIAL", "ZONA", "CATEGORIA", "SUB_CATEGORIA"]
@@ -304,19 +304,6 @@ def m3_gbt_ovr_metrics(spark, sf_dir):
     return with_group_values(s, a, [])
 
 
-@register("m5_feature_importance")
-def m5_feature_importance(spark, sf_dir):
-    _, model = _sev_model(spark, sf_dir)
-    return model.importances(spark)
-
-
-@register("m6_predict_propensities")
-def m6_predict_propensities(spark, sf_dir):
-    d, model = _sev_model(spark, sf_dir)
-    pred = model.predict(d.where(F.col("is_test")))
-    return pred.select("Orden", "Codigo", "puntaje", "puntaje_pred", *[f"puntaje_{c}" for c in model.classes])
-
-
 @register("m10_random_search")
 def m10_random_search(spark, sf_dir):
     d = _sev_training(spark, sf_dir).where(~F.col("is_test"))

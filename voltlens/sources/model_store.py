@@ -39,15 +39,13 @@ def load_zone_models(spark: SparkSession, path: str):
 
 
 def save_classifier(model, path: str) -> None:
-    """Each per-class tree ensemble with MLlib's writer, plus the encoding (the
-    category dictionary as a table)."""
-    for i, m in enumerate(model.models):
-        m.write().overwrite().save(f"{path}/class_{i}")
-    f = model.features
-    spark = SparkSession.getActiveSession()
-    meta = {"classes": model.classes, "num_cols": f.num_cols, "cat_cols": f.cat_cols, "fills": f.fills}
-    if f.dictionary is not None:
-        f.dictionary.write.mode("overwrite").parquet(f"{path}/dictionary")
+    """The trees as a table (one row per node), the category statistics as a table,
+    bounds and labels beside them."""
+    spark, stats, boost = SparkSession.getActiveSession(), model.stats, model.boost
+    boost.to_table(spark).write.mode("overwrite").parquet(f"{path}/trees")
+    stats.sums.write.mode("overwrite").parquet(f"{path}/statistics")
+    meta = {"classes": boost.classes, "features": boost.features, "cuts": boost.cuts, "start": boost.start,
+            "cat_cols": stats.cat_cols, "prior_weight": stats.prior_weight, "prior": stats.prior}
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").json(f"{path}/meta")
 
 
@@ -55,16 +53,15 @@ def load_classifier(spark: SparkSession, path: str):
     """Load a saved classifier; a missing store gives None (logged), like the reference."""
     import logging
 
-    from pyspark.ml.classification import GBTClassificationModel
-
-    from voltlens.operators.classify import OvrModel, TreeFeatures
+    from voltlens.operators.boost import BoostModel
+    from voltlens.operators.severity import SeverityModel
+    from voltlens.operators.target_stats import TargetStatistics
 
     try:
         meta = json.loads(spark.read.json(f"{path}/meta").first()["meta"])
     except Exception as e:  # noqa: BLE001 - absent store
         logging.getLogger(__name__).error("classifier store not readable at %s: %s", path, e)
         return None
-    codes = spark.read.parquet(f"{path}/dictionary") if meta["cat_cols"] else None
-    tf = TreeFeatures(meta["num_cols"], meta["cat_cols"], meta["fills"], codes)
-    models = [GBTClassificationModel.load(f"{path}/class_{i}") for i in range(len(meta["classes"]))]
-    return OvrModel(meta["classes"], models, tf)
+    trees = BoostModel.trees_from(spark.read.parquet(f"{path}/trees").collect())  # the model
+    stats = TargetStatistics(meta["cat_cols"], meta["prior_weight"], spark.read.parquet(f"{path}/statistics"), meta["prior"])
+    return SeverityModel(stats, BoostModel(meta["classes"], meta["features"], meta["cuts"], meta["start"], trees))
