@@ -59,6 +59,11 @@ class KnnModel:
         return out
 
 
+def hash_below(wanted: int, rows: int) -> int:
+    """Bound under which a signed 64-bit hash falls for about ``wanted`` of ``rows`` rows, at any number of rows."""
+    return (wanted << 64) // rows - (1 << 63) if wanted < rows else (1 << 63) - 1
+
+
 def fit(df: DataFrame, features, label: str, key, max_rows: int = 20_000, fold: str | None = None,
         seed: int = 42) -> KnnModel:
     """M7 fit: the labelled rows (all up to ``max_rows``, else about that many by a hash of
@@ -70,8 +75,7 @@ def fit(df: DataFrame, features, label: str, key, max_rows: int = 20_000, fold:
     rows = rows.where(usable([f"f{i}" for i in range(len(features))]) & F.col("y").isNotNull())
     n = rows.count()
     if n > max_rows:
-        place = F.pmod(F.xxhash64(F.lit(seed), *[f"k{i}" for i in range(len(keys))]), F.lit(1_000_000))
-        rows = rows.where(place < int(1_000_000 * max_rows / n))
+        rows = rows.where(F.xxhash64(F.lit(seed), *[f"k{i}" for i in range(len(keys))]) < hash_below(max_rows, n))
     got = rows.orderBy(*[f"k{i}" for i in range(len(keys))]).collect()
     classes = sorted({r.y for r in got})
     place = {c: i for i, c in enumerate(classes)}

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voltlens.functions.schema import q
+
 
 def reconcile(a: DataFrame, b: DataFrame) -> DataFrame:
     """Row counts of two builds and rows only in one (multiset difference)."""
@@ -23,6 +25,35 @@ def reconcile(a: DataFrame, b: DataFrame) -> DataFrame:
                    for k in ("rows_a", "rows_b", "only_a", "only_b")])
 
 
+def reconcile_by_key(a: DataFrame, b: DataFrame, keys) -> DataFrame:
+    """X6 by key: what differs between two builds with the same columns. One row per key that does:
+    ``status`` (added, removed or changed), the rows only in ``a`` and only in ``b`` and, where one
+    row stands against one, the sorted names of its ``changed`` columns.
+
+    Both builds meet in one signed count (a row +1 in ``a``, -1 in ``b``): equal rows
+    cancel in a hash aggregation, copies by their number, and only what is left is
+    grouped by key. NULL keys and values are equal.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    others = [c for c in a.columns if c not in keys]
+    if sorted(a.columns) != sorted(b.columns):
+        raise ValueError(f"builds differ in columns: {a.columns} and {b.columns}")
+    both = a.withColumn("_vl_sign", F.lit(1)).unionByName(b.withColumn("_vl_sign", F.lit(-1)))
+    left = both.groupBy(*[q(c) for c in a.columns]).agg(F.sum("_vl_sign").alias("_vl_d")).where("_vl_d != 0")
+    hashes = F.array(*[F.struct(F.lit(c).alias("c"), F.xxhash64(F.col(q(c))).alias("h"), F.col(q(c)).isNull().alias("z"))
+                       for c in sorted(others)]) if others else F.array().cast("array<struct<c:string,h:bigint,z:boolean>>")
+    row = left.select(*[F.col(q(k)) for k in keys], "_vl_d", hashes.alias("_vl_h"))
+    out = row.groupBy(*[q(k) for k in keys]).agg(
+        F.sum(F.when(F.col("_vl_d") > 0, F.col("_vl_d")).otherwise(0)).alias("rows_a"),
+        F.sum(F.when(F.col("_vl_d") < 0, -F.col("_vl_d")).otherwise(0)).alias("rows_b"),
+        # one of each side; a key with more has no single row to compare
+        F.max(F.when(F.col("_vl_d") > 0, F.col("_vl_h"))).alias("_ha"), F.max(F.when(F.col("_vl_d") < 0, F.col("_vl_h"))).alias("_hb"))
+    status = F.when(F.col("rows_b") == 0, "removed").when(F.col("rows_a") == 0, "added").otherwise("changed")
+    single = (F.col("rows_a") == 1) & (F.col("rows_b") == 1)
+    differ = F.filter(F.zip_with("_ha", "_hb", lambda x, y: F.when((x["h"] != y["h"]) | (x["z"] != y["z"]), x["c"])), lambda c: c.isNotNull())
+    return out.select(*[q(k) for k in keys], status.alias("status"), "rows_a", "rows_b", F.when(single, differ).alias("changed"))
+
+
 def _by(by):
     if by is None:
         return []
@@ -33,9 +64,10 @@ def average_rank(df: DataFrame, col: str, by=None, name: str | None = None) -> D
     """1-based rank with ties averaged (scipy ``rankdata``), per group.
 
     Ranks come from counts per distinct value and a ranged running sum, then
-    join back on the value (a hot value is one key; adaptive execution splits
-    the skewed join partition)."""
-    from voltlens.operators.prefix import running_sum
+    join back on the value: by a broadcast where the distinct values are few (a hot
+    value then moves no row), by a shuffle beyond, whose skewed partitions adaptive
+    execution splits."""
+    from voltlens.operators.prefix import broadcast_checked, running_sum
 
     by = _by(by)
     name = name or f"{col}_rank"
@@ -45,17 +77,40 @@ def average_rank(df: DataFrame, col: str, by=None, name: str | None = None) -> D
     r = r.select(*[F.col(b).alias(f"_rb{i}") for i, b in enumerate(by)], "_v",
                  (F.col("_c_cum") - (F.col("_c") - 1) / 2.0).alias(name))
     cond = [F.col(col) == F.col("_v")] + [F.col(b).eqNullSafe(F.col(f"_rb{i}")) for i, b in enumerate(by)]
-    return df.join(r, on=cond, how="left").drop("_v", *[f"_rb{i}" for i in range(len(by))])
+    return df.join(broadcast_checked(r), on=cond, how="left").drop("_v", *[f"_rb{i}" for i in range(len(by))])
 
 
 def spearman(df: DataFrame, x: str, y: str, by=None, min_n: int = 0) -> DataFrame:
     """Spearman rho = Pearson correlation of average ranks, per group;
-    groups with ``n <= min_n`` are left out."""
+    groups with ``n <= min_n`` are left out.
+
+    Works on distinct (x, y) pairs with their counts: ranks belong to distinct values, are
+    joined to the pairs (broadcast when few) and enter weighted sums around their mean, which
+    is (n + 1) / 2. Rows are never joined on a value."""
+    from voltlens.operators.prefix import broadcast_checked, materialize, running_sum
+
     by = _by(by)
-    d = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*by, x, y)
-    d = average_rank(average_rank(d, x, by, "_rx"), y, by, "_ry")
-    a = d.groupBy(*by).agg(F.corr("_rx", "_ry").alias("rho"), F.count(F.lit(1)).alias("n"))
-    return a.where(F.col("n") > min_n) if min_n else a
+    d = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    g = [F.col(b).alias(f"_g{i}") for i, b in enumerate(by)]
+    names = [f"_g{i}" for i in range(len(by))]
+    pairs = materialize(d.groupBy(*g, F.col(x).alias("_x"), F.col(y).alias("_y")).agg(F.count(F.lit(1)).alias("_c")))
+    out = pairs
+    for v in ("_x", "_y"):
+        counts = pairs.groupBy(*names, v).agg(F.sum("_c").alias("_k"))
+        ranks = running_sum(counts, [v], ["_k"], by=names, totals=True).select(
+            *[F.col(n).alias(f"{v}{n}") for n in names], F.col(v).alias(f"{v}_v"),
+            # distance of the average rank from the mean rank
+            (F.col("_k_cum") - (F.col("_k") - 1) / 2.0 - (F.col("_k_total") + 1) / 2.0).alias(f"_d{v}"))
+        cond = F.col(v) == F.col(f"{v}_v")
+        for n in names:
+            cond = cond & F.col(n).eqNullSafe(F.col(f"{v}{n}"))
+        out = out.join(broadcast_checked(ranks), cond).drop(f"{v}_v", *[f"{v}{n}" for n in names])
+    c, a, b = F.col("_c"), F.col("_d_x"), F.col("_d_y")
+    sums = out.groupBy(*names).agg(F.sum(c * a * b).alias("_ab"), F.sum(c * a * a).alias("_aa"), F.sum(c * b * b).alias("_bb"),
+                                   F.coalesce(F.sum(c), F.lit(0)).alias("n"))
+    rho = F.try_divide(F.col("_ab"), F.sqrt(F.col("_aa") * F.col("_bb")))
+    out = sums.select(*[F.col(n).alias(b_) for n, b_ in zip(names, by)], rho.alias("rho"), "n")
+    return out.where(F.col("n") > min_n) if min_n else out
 
 
 #: Nodes of the Gauss-Legendre rule used for p-values.

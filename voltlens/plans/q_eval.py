@@ -312,3 +312,53 @@ def x1_spearman_pvalue(spark, sf_dir):
     li = A.read(spark, sf_dir, "lineitem")
     out = ST.with_pvalues(ST.spearman(li, "l_linenumber", "l_extendedprice"))
     return out.withColumn("p_value", F.round("p_value", 8))
+
+
+# ----------------------------------------------------------------------------- reconciliation by key, sketches
+
+_BUILD_B = """SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+    CASE WHEN o_orderkey % 21 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority FROM orders WHERE o_orderkey % 11 <> 0
+  UNION ALL SELECT -o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders WHERE o_orderkey % 13 = 0"""
+
+
+@register("x6_reconcile_by_key", f"""
+WITH a AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders), b AS ({_BUILD_B}),
+j AS (SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, a.o_orderkey AS ka, b.o_orderkey AS kb,
+             a.o_totalprice IS DISTINCT FROM b.o_totalprice AS dp, a.o_orderpriority IS DISTINCT FROM b.o_orderpriority AS dq
+      FROM a FULL JOIN b ON a.o_orderkey = b.o_orderkey)
+SELECT o_orderkey, CASE WHEN kb IS NULL THEN 'removed' WHEN ka IS NULL THEN 'added' ELSE 'changed' END AS status,
+       CAST(CASE WHEN ka IS NULL THEN 0 ELSE 1 END AS BIGINT) AS rows_a, CAST(CASE WHEN kb IS NULL THEN 0 ELSE 1 END AS BIGINT) AS rows_b,
+       CASE WHEN ka IS NOT NULL AND kb IS NOT NULL THEN concat_ws(',', CASE WHEN dq THEN 'o_orderpriority' END,
+            CASE WHEN dp THEN 'o_totalprice' END) END AS changed
+FROM j WHERE ka IS NULL OR kb IS NULL OR dp OR dq""")
+def x6_reconcile_by_key(spark, sf_dir):
+    """Added, removed and changed keys between two builds of the orders, with the changed columns."""
+    a = A.read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    k = F.col("o_orderkey")
+    b = a.where(k % 11 != 0).withColumns({
+        "o_totalprice": F.when(k % 7 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
+        "o_orderpriority": F.when(k % 21 != 0, F.col("o_orderpriority"))})
+    b = b.unionByName(a.where(k % 13 == 0).withColumn("o_orderkey", -k))
+    return ST.reconcile_by_key(a, b, "o_orderkey").withColumn("changed", F.concat_ws(",", "changed")).withColumn(
+        "changed", F.when(F.col("status") == "changed", F.col("changed")))
+
+
+@register("a9_a14_merged_sketches", """
+WITH o AS (SELECT o_orderstatus, o_custkey, o_totalprice FROM orders)
+SELECT o_orderstatus, count(*) AS n, count(DISTINCT o_custkey) AS customers, true AS distinct_within, true AS median_within
+FROM o GROUP BY o_orderstatus""")
+def a9_a14_merged_sketches(spark, sf_dir):
+    """Sketches stored by status and year, merged over the years without a rescan; the estimates lie within
+    five standard errors of the exact count and within 2 % of the rank of the exact median."""
+    from voltlens.operators import sketches as SK
+    from voltlens.operators.prefix import materialize
+    o = A.read(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    stored = materialize(SK.sketch_table(o, ["o_orderstatus", "year"], ["o_custkey"], ["o_totalprice"]))
+    merged = SK.estimates(SK.merge(stored, "o_orderstatus"), [0.5]).withColumnRenamed("o_orderstatus", "_s")
+    exact = o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("o_custkey").alias("customers"))
+    below = o.join(F.broadcast(merged.select("_s", F.col("`o_totalprice_q0.5`").alias("_m"))), F.col("o_orderstatus") == F.col("_s")).groupBy(
+        F.col("o_orderstatus").alias("_b")).agg(F.avg((F.col("o_totalprice") <= F.col("_m")).cast("double")).alias("share"))
+    out = exact.join(merged, F.col("o_orderstatus") == F.col("_s")).join(below, F.col("o_orderstatus") == F.col("_b"))
+    near = F.abs(F.col("o_custkey_distinct") - F.col("customers")) <= 5 * SK.distinct_error() * F.col("customers") + 1
+    return out.select("o_orderstatus", "n", "customers", near.alias("distinct_within"),
+                      (F.abs(F.col("share") - 0.5) <= 0.02 + 1 / F.col("n")).alias("median_within"))

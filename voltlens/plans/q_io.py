@@ -200,6 +200,19 @@ def s9_jdbc_append_read(spark, sf_dir):
     return back.select(*u.columns)
 
 
+@register("s9_staged_append", V("SELECT * FROM users", "users"))
+def s9_staged_append(spark, sf_dir):
+    """Three loads, the second with every row twice (tasks run again), the third a repeat: each id once."""
+    from voltlens.sources import jdbc
+    import uuid
+    url, table = _derby(uuid.uuid4().hex[:8]), "USERS_ONCE"
+    u = A.users(spark, sf_dir)
+    first = jdbc.append_once(u.where(F.col("CLIENTE") % 3 == 0), url, table, "CLIENTE", "r1")
+    second = jdbc.append_once(u.union(u), url, table, "CLIENTE", "r2")
+    assert jdbc.append_once(u, url, table, "CLIENTE", "r2") == 0 and first + second == u.count()
+    return jdbc.read_table(spark, url, table, partition_column="CLIENTE", num_partitions=4).select(*u.columns)
+
+
 @register("s10_scored_rows_sink", V("""
 SELECT "Orden" AS data_id, "kWh_Rec", '2024-05-06 07:08:09' AS fecha_carga FROM anomalies""", "anomalies"))
 def s10_scored_rows_sink(spark, sf_dir):
