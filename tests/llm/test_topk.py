@@ -64,3 +64,17 @@ def test_bounds_prune():
     scores = c[:, 510] @ c
     want = np.lexsort((ids, -scores))[:4]
     assert found[600] == (want.tolist(), scores[want].tolist())
+
+
+def test_scores_beyond_64_bits_raise_and_smaller_ones_are_exact():
+
+    from voltlens.llm.topk import search
+
+    ids, one = np.array([1]), np.array([[2 ** 40], [1]])
+    with pytest.raises(OverflowError):
+        list(search(ids, one, np.array([2, 3]), np.array([[2 ** 40, 5], [0, 7]]), 2, 16))
+    (_, got, scores), = search(ids, one, np.array([2, 3]), np.array([[2 ** 22, -5], [0, 7]]), 2, 16)
+    assert got.tolist() == [2, 3] and scores.tolist() == [2 ** 62, 7 - 5 * 2 ** 40]
+    wide = np.array([[2 ** 40], [-2 ** 40]])  # large products that cancel
+    (_, got, scores), = search(ids, wide, np.array([2]), np.array([[2 ** 40], [2 ** 40 - 3]]), 1, 16)
+    assert scores.tolist() == [3 * 2 ** 40]

@@ -78,3 +78,10 @@ def test_edges(spark, frame, edge, corpus):
     rows = sorted(((r.doc_id, r.grade, r.toxic) for r in out.select("doc_id", "grade", "toxic").collect()))
     assert rows == [(1, 0, False), (2, 0, False), (3, 2, True), (3, 2, True)]
     assert toxicity.score(frame([]), model).count() == 0
+
+
+def test_sampling_rate_of_any_table_size():
+    for rows in (1501, 10 ** 6, 10 ** 12, 10 ** 15):
+        share = (toxicity.hash_below(1500, rows) + 2 ** 63) / 2 ** 64
+        assert abs(share * rows - 1500) < 1e-2
+    assert toxicity.hash_below(1500, 1500) == 2 ** 63 - 1

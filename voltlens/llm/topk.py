@@ -7,7 +7,8 @@ Within a pair of blocks a tile of queries accumulates partial products one dimen
 at a time, dimensions of most energy first. By Cauchy-Schwarz the dimensions still to come
 add at most the product of the remaining norms; candidates that can reach no query's k-th
 best are removed and the survivors compacted before the next dimension block. Bounds carry
-a slack above the rounding error and sums are exact integers, so the result is exact.
+a slack above the rounding error and sums are exact integers, so the result is exact. Scores
+from 2^53 on are computed as integers without bounds; one that does not fit into 64 bits raises.
 
 Cases: components become floor(scale * x); vectors that are null or hold null or non-finite
 components, and rows without an id, take no part; vectors of other length do not meet;
@@ -28,7 +29,7 @@ from voltlens.llm.common import materialize, pick
 
 #: Queries sent to the tasks at once.
 QUERIES_AT_ONCE = 1 << 15
-EXACT = 2.0 ** 53
+EXACT, LONG = 2.0 ** 53, 2.0 ** 63
 BLOCK_SCHEMA = "dim int, n int, ids binary, cells binary, narrow boolean"
 
 
@@ -97,7 +98,14 @@ def search(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k
     for t in range(0, q.shape[1], tile):
         ids, part = q_ids[t:t + tile], q[:, t:t + tile]
         if kind is np.int64:
-            whole, alive = part.T @ c, np.arange(len(c_ids))
+            if biggest < LONG:
+                whole = part.T @ c
+            else:
+                exact = part.T.astype(object) @ c.astype(object)
+                if exact.size and (exact.max() >= 1 << 63 or exact.min() < -(1 << 63)):
+                    raise OverflowError("an inner product does not fit into 64 bits")
+                whole = exact.astype(np.int64)
+            alive = np.arange(len(c_ids))
             own = ids[:, None] == c_ids[None, :]
         else:
             first = part.T @ c[:, :seed_rows]

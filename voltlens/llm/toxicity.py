@@ -111,6 +111,11 @@ def fit_weights(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, w
     return Model({int(f): float(x) for f, x in zip(names, w) if x != 0}, t.tolist())
 
 
+def hash_below(wanted: int, rows: int) -> int:
+    """Bound up to which a signed 64-bit hash lies for about ``wanted`` of ``rows`` rows, at any number of rows."""
+    return (wanted << 64) // rows - (1 << 63) if wanted < rows else (1 << 63) - 1
+
+
 def fit(docs: DataFrame, labels: DataFrame, grade_col: str, id_col: str = "doc_id", text_col: str = "text",
         fit_rows: int = 1500, split_positives: int = 1) -> Model:
     """Fit on about ``fit_rows`` labelled rows of each grade (grades 0..K).
@@ -121,11 +126,10 @@ def fit(docs: DataFrame, labels: DataFrame, grade_col: str, id_col: str = "doc_i
     graded = pick(labels, {"doc_id": id_col, "grade": grade_col}).where(
         F.col("doc_id").isNotNull() & F.col("grade").isNotNull())
     sizes = {r.grade: r.n for r in graded.groupBy("grade").agg(F.count("*").alias("n")).collect()}
-    rate = F.lit(0)
+    bound = F.lit(None).cast("long")
     for g, n in sizes.items():
-        rate = F.when(F.col("grade") == g, int(min(1.0, fit_rows / n) * 1_000_000)).otherwise(rate)
-    place = F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(1_000_000))
-    sample = graded.where(place < rate)
+        bound = F.when(F.col("grade") == g, F.lit(hash_below(fit_rows, n)).cast("long")).otherwise(bound)
+    sample = graded.where(F.xxhash64(F.lit(9), "doc_id") <= bound)
     texts = pick(docs, {"doc_id": id_col, "text": text_col})
     rows = texts.join(F.broadcast(sample), "doc_id")  # the sample is bounded by fit_rows a grade
     fields = [T.StructField("f", T.ArrayType(T.IntegerType())), T.StructField("x", T.ArrayType(T.FloatType()))]
