@@ -163,6 +163,19 @@ def st_api_stream(spark, sf_dir):
                                            "ZONA", "item_288", "item_23", "Anomalia_conf", "año")
 
 
+@register("st_api_stream_state", f"SELECT odt, orden, CAST(1 AS BIGINT) AS times FROM (SELECT DISTINCT odt, orden FROM ({_API_SQL}))")
+def st_api_stream_state(spark, sf_dir):
+    """The records landed twice, read by two runs of the stream: every (odt, orden) is stored once."""
+    from voltlens.streaming import api_stream
+    landing = _land_api(spark, sf_dir)
+    sink, ckpt = scratch_path(spark, "api-state-sink"), scratch_path(spark, "api-state-ckpt")
+    for _ in range(2):
+        api_stream.start(spark, landing, sink, ckpt, 2024, RUN_TS, dedupe_window="30 days").awaitTermination()
+        spark.read.text(landing).write.mode("append").text(landing + "-again")
+        spark.read.text(landing + "-again").write.mode("append").text(landing)
+    return spark.read.parquet(sink).groupBy("odt", "orden").agg(F.count(F.lit(1)).alias("times"))
+
+
 def _gen_sql():
     p = 1000003
     part = lambda i: f"(((o_orderkey % {p}) * {7919 + 2 * (42 + i)} + {(42 + i) * 104729}) % {p})"

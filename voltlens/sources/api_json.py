@@ -67,8 +67,9 @@ def _value(name: str, sql_type: str) -> Column:
     return F.expr(f"try_variant_get(r, '$.{name}', '{sql_type}')")
 
 
-def validate(records: DataFrame, run_year: int, run_ts: str) -> tuple[DataFrame, DataFrame]:
-    """P17 + F23: (accepted typed rows, rejected raw records with a reason)."""
+def validate(records: DataFrame, run_year: int, run_ts: str, carry=()) -> tuple[DataFrame, DataFrame]:
+    """P17 + F23: (accepted typed rows, rejected raw records with a reason). ``carry``: columns of the
+    records that accepted rows keep."""
     ok_req = None
     for f in REQUIRED:
         c = _present(f)
@@ -83,7 +84,8 @@ def validate(records: DataFrame, run_year: int, run_ts: str) -> tuple[DataFrame,
     cols["item_288"] = F.when(_present("item_288"), _value("item_288", "bigint")).otherwise(F.lit(0).cast("bigint"))
     cols["fecha_creacion"] = F.lit(run_ts)
     raw = F.col("raw") if "raw" in records.columns else F.lit(None).cast("string")
-    typed = records.select("r", raw.alias("_raw"), ok_req.alias("_req"), *[v.alias(k) for k, v in cols.items()])
+    typed = records.select("r", raw.alias("_raw"), ok_req.alias("_req"), *[v.alias(k) for k, v in cols.items()],
+                           *carry)
     cast_ok = None
     for f in STRICT:
         c = F.col(f).isNotNull()
