@@ -53,13 +53,13 @@ def write_duplicates(df: DataFrame, keys, path: str, fmt: str = "csv") -> int:
     """Write only rows of key groups with more than one row, if any;
     returns the number written (nothing is written when it is zero)."""
     from voltlens.operators.dedupe import duplicated_flag
+    from voltlens.operators.prefix import materialize
 
-    dups = duplicated_flag(df, keys, "_vl_dup").where(F.col("_vl_dup")).drop("_vl_dup")
-    obs = Observation("dups")
-    dups = dups.observe(obs, F.count(F.lit(1)).alias("rows"))
-    # the write is the only scan; an empty result leaves just a marker-free folder
-    write_table(dups, path, fmt)
-    return int(obs.get["rows"])
+    dups = materialize(duplicated_flag(df, keys, "_vl_dup").where(F.col("_vl_dup")).drop("_vl_dup"))
+    n = dups.count()
+    if n:
+        write_table(dups, path, fmt)
+    return n
 
 
 def split_rejects(df: DataFrame, required, good_path: str, bad_path: str, fmt: str = "parquet") -> tuple[int, int]:
