@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from voltlens.functions.schema import q
 
+# Fields that a record must have.
 REQUIRED = ["odt", "orden", "LATI_USU", "LONG_USU", "PLAN_COMERCIAL", "ZONA"]
 
 # Defaults applied to absent API fields.
@@ -26,7 +27,7 @@ DEFAULTS = {
     "NIVEL": 0.0,
 }
 
-# target fields and their SQL types (others in a record are dropped: P15)
+# Target fields and their SQL types (others in a record are dropped: P15)
 FIELDS = {
     "odt": "bigint", "orden": "bigint", "item_288": "bigint", "LATI_USU": "double", "LONG_USU": "double",
     "NIVEL": "double", "PLAN_COMERCIAL": "string", "ZONA": "string", "AREA": "string", "Descripcion": "string",
@@ -36,6 +37,7 @@ FIELDS = {
     "item_35": "string", "item_598": "string", "item_33": "string", "item_601": "string", "item_24": "string",
     "item_23": "string",
 }
+# Fields whose value must cast.
 STRICT = ["LATI_USU", "LONG_USU", "NIVEL", "odt", "orden", "item_288"]
 
 
