@@ -1,6 +1,10 @@
 """Corpus pipeline over ``documents``: each stage calls one operator and works on what the one
 before kept. All stages but the last return the columns of ``documents``.
 
+Cases: null and empty texts have no language and go with the first stage; repeated rows are copies, of
+which the second keeps one; ids may be null; long texts are used whole; an empty table stays empty.
+Extra columns are kept by all stages but the last, also those whose names clash.
+
 No SQL twin: the stages learn, hash and tokenise; ``tests/llm/test_pipeline.py`` holds the
 result against brute force.
 """
@@ -11,7 +15,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from voltlens.llm import byte_bpe, decontaminate, langid, secrets, simhash
-from voltlens.llm.common import materialize, table
+from voltlens.llm.common import materialize, pick, table
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -39,7 +43,9 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def byte_bpe_round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text; ``exact`` says that decoding them gives the text's bytes."""
     path = public_tokenizers.path(RANKS)
-    coded = byte_bpe.encode(docs, path, decoded=True)
+    # by position: other columns may share a name but for case, or one of the results' names
+    rows = pick(docs, {c: c for c in ("doc_id", "lang", "source", "text")})
+    coded = byte_bpe.encode(rows, path, decoded=True)
     whole = F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary"))
     return coded.select("doc_id", "lang", "source", "text", "ids", F.size("ids").cast("long").alias("n_tokens"),
                         (F.col("decoded") == whole).alias("exact"))

@@ -76,12 +76,24 @@ def test_stages_on_edges(spark, edge, frame):
             assert out.count() <= rows.count()
 
 
+def test_last_stage_on_edges(spark, edge):
+    rows = edge.toDF("doc_id", "text", "lang", "Lang", "source", "ids", "n_tokens", "c0")
+    for docs in (rows, rows.where("c0 IS NULL")):
+        out = cp.byte_bpe_round_trip(spark, docs, SF)
+        assert out.columns == ["doc_id", "lang", "source", "text", "ids", "n_tokens", "exact"]
+        got = out.collect()
+        assert len(got) == docs.count() and all(r.exact for r in got)
+        assert all(r.n_tokens == 0 for r in got if not r.text)
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_query_runs_over_whole_tables(spark, name):
     out = queries.QUERIES[name](spark, SF)
     n = table(spark, SF, "documents").count()
     if name.startswith("op3_"):
         assert 0 < out.count() and out.where(F.col("doc_id").isNull()).count() == 0
+    elif name.startswith("op13_"):
+        assert out.count() == 10 * table(spark, SF, "benchmark").count()
     elif name.startswith("op7_"):
         assert out.count() == 5 * table(spark, SF, "embeddings").where("vec_id % 50 = 0").count()
     else:
