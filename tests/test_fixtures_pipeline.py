@@ -143,3 +143,56 @@ def test_null_keys_on_both_sides_are_refused(spark):
     assert sorted(r.v for r in out.collect()) == ["x", "x", "y"]
     with pytest.raises(ValueError):
         join_renamed(a, b.union(b), "a", "b", "left", null_keys_match=True)
+
+
+def _dataset_sides(spark):
+    an = spark.createDataFrame(
+        [(1, 100, dt.date(2022, 3, 1), "A1/ A1", "f", "m", 1.0), (1, 100, dt.date(2022, 3, 1), "A1", "f", "m", 1.0),
+         (2, None, None, "B2", None, None, None), (2, None, None, "B2", None, None, None),
+         (3, 300, None, None, None, None, -0.0), (3, 300, None, None, None, None, 0.0)],
+        "Orden long, Usuario long, Ejecucion date, Codigo string, Descripcion string, Motivo string, kWh_Rec double")
+    sev = spark.createDataFrame([("A1", 1.0, "n1", 3), ("A1", 1.0, "n1", 3), ("A1", 2.0, "n2", 5), (None, 9.0, "n", 1)],
+                                "Item string, id double, Nombre string, puntaje int")
+    num = ("FASES", "KVA", "LATI_USU", "LONG_USU", "LATI_TRAFO", "LONG_TRAFO")
+    u = [(7, 100, "U", None, "T", 1.0, 1.0, "C", "S", "Z", 1.0, 2.0, 1.0, 2.0)]
+    u += [(8, *u[0][1:]), u[0], (9, 300, *u[0][2:]), (5, 500, *u[0][2:]), (5, 500, *u[0][2:]), (4, None, *u[0][2:])]
+    users = spark.createDataFrame(u, ", ".join(
+        f"{c} {'long' if c in ('CLIENTE', 'PRODUCTO') else 'double' if c in num else 'string'}" for c in P.USER_COLS))
+    return an, users, sev
+
+
+def test_datasets_are_distinct_without_a_wide_distinct(spark):
+    """Repeats in every side, equal codes of one order and -0.0: the joins of the distinct sides are the distinct joins."""
+    from collections import Counter
+
+    from voltlens.operators import joins
+    an, users, sev = _dataset_sides(spark)
+    for build, how, cols in ((P.merge_and_clean, "left", P.TRAIN_COLS), (P.inference_dataset, "right", None)):
+        out = build(an, users, sev)
+        a = P.with_severity(P.expand_codes(an), sev)
+        j = joins.join_renamed(a, users, "Usuario", "PRODUCTO", how, drop_right_key=False)
+        want = j.select(*(cols or j.columns)).distinct().na.drop(subset=["ZONA"])
+        assert out.columns == want.columns
+        assert Counter(map(str, out.collect())) == Counter(map(str, want.collect()))
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Join") < plan.index("Aggregate")  # below the joins, on the narrow sides
+
+
+def test_distinct_spread_deals_rows_before_it_combines_them(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (None, None), (None, None)], "k long, v string")
+    out = dedupe.distinct_spread(df)
+    assert sorted(map(str, out.collect())) == ["Row(k=1, v='a')", "Row(k=None, v=None)"]
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.rindex("HashAggregate") < plan.index("Exchange")
+
+
+def test_unrevised_duplicates_move_missing_rows_only(spark):
+    rows = [(1, "r", 1), (1, None, 2), (2, None, 3), (3, "nan", 4), (3, "NaN", 5), (4, "r", 6), (4, "r", 7),
+            (None, None, 8), (None, "r", 9), (5, "r", 10)]
+    df = spark.createDataFrame(rows, "Orden long, Revision string, v long")
+    out = dedupe.drop_unrevised_duplicates(df)
+    assert sorted(r.v for r in out.collect()) == [1, 3, 6, 7, 9, 10] and out.columns == df.columns
+    one = spark.createDataFrame([(None, None, 1)], df.schema)
+    assert dedupe.drop_unrevised_duplicates(one).count() == 1  # a single NULL key is no duplicate
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "LeftSemi" in plan and "LeftOuter" not in plan
