@@ -47,3 +47,21 @@ def test_api_rules(spark):
     assert "unknown" not in ok.columns
     assert sorted(r.reason for r in bad.collect()) == ["missing required field", "value does not cast",
                                                        "value does not cast"]
+
+
+def test_records_are_parsed_once(spark, tmp_path):
+    """A filter on the fields does not repeat the parsing; a broken document or line is rejected with its text."""
+    good = '{"odt": 1, "orden": 2, "LATI_USU": 1.50, "LONG_USU": -7, "PLAN_COMERCIAL": "p", "ZONA": "z"}'
+    for name, text, lines in (("docs", '{"anomalias": [' + good + ', {"odt": 3}]}', False), ("lines", good + '\n{"odt": 3}\n', True)):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "a.json").write_text(text)
+        (folder / "b.json").write_text('{"odt": 4')
+        rec = api_json.read_records(spark, str(folder), json_lines=lines)
+        ok, bad = api_json.validate(rec, 2024, "2024-05-06 07:08:09")
+        assert [(r.odt, r.orden, r.LATI_USU) for r in ok.collect()] == [(1, 2, 1.5)]
+        assert sorted((r.reason, r.record) for r in bad.collect()) == [("missing required field", '{"odt": 3}'),
+                                                                       ("not JSON", '{"odt": 4')]
+        for part in (ok, bad):
+            plan = part._jdf.queryExecution().optimizedPlan().toString().lower()
+            assert "parse" in plan and not any("filter" in line and "parse" in line for line in plan.splitlines())

@@ -51,14 +51,17 @@ def read_records(spark: SparkSession, path: str, json_lines: bool = False, key:
         return parse_lines(spark.read.text(path))
     docs = (spark.read.schema(f"{key} ARRAY<STRING>, _vl_bad STRING").option("multiLine", True)
                  .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_vl_bad").json(path))
-    texts = F.when(F.col("_vl_bad").isNotNull(), F.array("_vl_bad")).otherwise(F.col(key))
-    rows = docs.select(F.explode(texts).alias("raw"), F.col("_vl_bad").isNotNull().alias("bad"))
-    return rows.select(F.when(~F.col("bad"), F.try_parse_json("raw")).alias("r"), "raw")
+    bad = F.col("_vl_bad").isNotNull()
+    texts = F.when(bad, F.array("_vl_bad")).otherwise(F.col(key))
+    # parsed where the rows are made: a filter on the record's fields cannot repeat the parsing for each of them
+    return docs.select(F.inline(F.transform(texts, lambda t: F.struct(
+        F.when(~bad, F.try_parse_json(t)).alias("r"), t.alias("raw")))))
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Text lines (column ``value``) as (r, raw); empty lines are skipped."""
-    return lines.where(F.trim("value") != "").select(F.try_parse_json("value").alias("r"), F.col("value").alias("raw"))
+    one = F.array(F.struct(F.try_parse_json("value").alias("r"), F.col("value").alias("raw")))
+    return lines.where(F.trim("value") != "").select(F.inline(one))  # parsed once a line, as in read_records
 
 
 def _present(name: str) -> Column:
