@@ -92,3 +92,12 @@ def test_keep_one(edge, frame):
     ids = sorted(r[0] for r in kept.collect() if r[0] is not None)
     assert ids == [1, 4, 6, 8, 9, 10, 11]
     assert simhash.keep_one(frame([])).count() == 0 and simhash.near_duplicates(frame([])).count() == 0
+
+
+def test_probes_are_not_broadcast(spark):
+    """Spark sizes an exploded side by the rows before it; the probes are over thirty rows a fingerprint."""
+    df = spark.range(2000).select(F.xxhash64("id").alias("simhash"))
+    found = simhash.links(df, 3)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan and "BroadcastHashJoin" not in plan

@@ -115,7 +115,9 @@ def links(distinct: DataFrame, max_bits: int = 3, segments: int = 2) -> DataFram
         "a", "seg", F.col("key").bitwiseXOR(F.col("m.mask")).alias("key"))
     stored_rows = cut.select(fp.alias("b"), "seg", "key")
     near = (F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
-    found = probe_rows.join(stored_rows, (probe_rows.seg == stored_rows.seg) & (probe_rows.key == stored_rows.key) & near)
+    # Spark sizes the exploded sides by the fingerprints they come from and would broadcast the probes: both are shuffled
+    found = probe_rows.hint("merge").join(
+        stored_rows, (probe_rows.seg == stored_rows.seg) & (probe_rows.key == stored_rows.key) & near)
     return found.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
 
 
