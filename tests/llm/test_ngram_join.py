@@ -110,3 +110,35 @@ def test_product_against_definition(sets, cut, percent):
 def test_extra_columns_and_repeated_rows(frame):
     df = frame([(3, "a b c d e"), (3, "a b c d e"), (2, "A B C D E"), (5, "z")]).withColumn("key", F.lit(1)).withColumn("n", F.lit(2))
     assert run(df) == [(2, 3, 2, 2), (3, 3, 2, 2), (3, 3, 2, 2), (5, 1, 5, 0)]
+
+
+@given(st.lists(st.lists(st.integers(0, 25), min_size=1, max_size=24), min_size=2, max_size=10), st.integers(0, 10),
+       st.sampled_from([1, 50, 80, 90, 100]))
+@settings(max_examples=80, deadline=None)
+def test_bound_columns_find_every_link(sets, cut, percent):
+    """Rows that are linked reach the bound of their bound columns, in blocks with themselves and with each other."""
+    sets = [np.unique(np.array(s, np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for s in sets]
+    n, keys = np.array([len(s) for s in sets]), np.arange(len(sets))
+    side = (keys >= cut).astype(np.int64) if 0 < cut < len(sets) else np.zeros(len(sets), np.int64)
+    bound = [s[:ngram_join.bound_size(len(s), percent)].tobytes() for s in sets]
+    full = ngram_join.link_block(keys, n, np.ones(len(n)), side, [s.tobytes() for s in sets], percent)
+    near = ngram_join.link_block(keys, n, np.ones(len(n)), side, bound, percent, bound=True)
+    star = dict(zip(near[0].tolist(), near[1].tolist()))
+    assert set(full[0].tolist()) <= set(star)
+    assert all(star[k] == star[root] for k, root in zip(full[0].tolist(), full[1].tolist()))
+
+
+def test_a_cluster_of_chance_columns_is_cut(frame):
+    """Texts of few words share rare columns by chance: one cluster of many blocks, whose rows went to every block pair."""
+    rng = random.Random(3)
+    texts = [[f"v{rng.randrange(12)}" for _ in range(100)] for _ in range(60)]
+    texts += [t[:50] + ["z"] + t[51:] for t in texts[:6]]
+    rows = list(enumerate(" ".join(t) for t in texts))
+    docs = ngram_join.pick(frame(rows), {"doc_id": "doc_id", "text": "text"})
+    keyed, sets, _ = ngram_join.distinct_rows(docs, 3, 90)
+    pairs = ngram_join.block_pairs(ngram_join.clusters(keyed, sets, 90), sets, 90, 8, 1 << 20)
+    cut = ngram_join.refined(keyed, pairs, sets, 90, 8, 1 << 20)
+    sent = lambda p: p.agg(F.sum(F.size("pairs"))).first()[0]
+    assert pairs.where("not whole").count() > 50 and sent(pairs) > 4 * 60
+    assert cut.where("not whole").isEmpty() and sent(cut) == 12
+    assert run(frame(rows), block_rows=8) == brute(rows)

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from voltlens.session import scratch_path
+from voltlens.session import FREE_SHUFFLES, scratch_path, settings
 
 #: Texts of about this many bytes are handed to a vectorised function at once.
 SLICE_BYTES = 1 << 20
@@ -42,11 +42,13 @@ def pick(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return plain.select(*(F.col(f"c{position(df, src)}").alias(new) for new, src in columns.items()))
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write a table into the shared scratch folder and read it back: cuts the lineage and
-    survives lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    survives lost executors. Its shuffles go when it is written. ``path``: where, for a caller
+    that removes the table."""
+    path = path or scratch_path(df.sparkSession, name)
+    with settings(df.sparkSession, FREE_SHUFFLES):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -11,7 +11,9 @@ multiplicity), columns are shingles (XXH64 of the words). Two rows are linked wh
    ``b`` of them in any other row has no partner. Of the others the ``r - b + 1`` rarest
    of its ``r`` repeated bound columns hold one that it shares with every partner.
 2. Block-diagonal form. Rows that share such a column, directly or over others, form a
-   cluster; all overlaps that can reach the bound lie inside clusters.
+   cluster; all overlaps that can reach the bound lie inside clusters. By chance columns clusters grow with the
+   corpus, so one that takes more than one block is cut again: its bound columns alone are multiplied (as in 3 and
+   4, with the bound ``l(min(n_i, n_j))``), and rows that reach that bound with each other form the clusters.
 3. Blocks. A cluster of at most ``block_rows`` rows and ``block_entries`` entries is one block. A
    larger one is cut by size band (sizes within ``percent`` of each other lie in one band or
    in neighbours) and each band into hash blocks; only pairs of blocks whose bands can
@@ -68,6 +70,11 @@ def slack(n):
     return 1 + n // EXTRA
 
 
+def bound_size(n, percent: int):
+    """Bound columns of a row of ``n``."""
+    return np.minimum(n, n - overlap_floor(n, percent) + slack(n))
+
+
 def shingle_set(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct 64-bit shingle hashes of a text."""
     from xxhash import xxh64_digest
@@ -105,7 +112,7 @@ def matrix_rows(rows: DataFrame, width: int, percent: int, seed: int) -> DataFra
                 k, c = row_keys(s, seed) if len(s) else (None, None)
                 b = None
                 if len(s) and k not in given:
-                    b = s[:len(s) - overlap_floor(len(s), percent) + slack(len(s))].view(np.int64)
+                    b = s[:bound_size(len(s), percent)].view(np.int64)
                     if len(given) >= 1 << 20:
                         given.clear()
                     given.add(k)
@@ -135,8 +142,10 @@ def clusters(keyed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``key, root`` of every row that may have a partner."""
     cells = keyed.where(F.col("bound").isNotNull()).select("key", F.explode("bound").alias("col"))
     repeated = cells.groupBy("col").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("df"))
-    repeated = repeated.where("low != high").select("col", "df", "low")
-    shared = cells.join(repeated, "col").groupBy("key").agg(F.collect_set(F.struct("df", "col", "low")).alias("c"))
+    # written, so the shuffle of all cells is gone before they are shuffled again
+    repeated = materialize(repeated.where("low != high").select("col", "df", "low"), "columns")
+    # the cells are sized by the rows they are exploded from: neither side is to be broadcast
+    shared = cells.join(repeated.hint("merge"), "col").groupBy("key").agg(F.collect_set(F.struct("df", "col", "low")).alias("c"))
     floor = F.ceil(F.col("n") * percent / 100)
     least = (1 + F.floor(floor / EXTRA)).cast("int")
     able = shared.join(sets.select("key", "n"), "key").withColumn("b", least).where(F.size("c") >= F.col("b"))
@@ -150,8 +159,8 @@ def clusters(keyed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def block_pairs(clustered: DataFrame, sets: DataFrame, percent: int, block_rows: int, block_entries: int) -> DataFrame:
-    """``key, low, n, copies, root, band, block, pairs``: each row's block, and the block pairs that the block
-    takes part in with its side (0, 1)."""
+    """``key, low, n, copies, root, band, block, pairs, whole``: each row's block, the block pairs that the block
+    takes part in with its side (0, 1), and whether the block is a whole cluster."""
     rows = materialize(clustered.join(sets, "key"), "clustered")
     size = [F.count("*").alias("rows"), F.sum("n").alias("entries")]
     need = F.ceil(F.greatest(F.col("rows") / block_rows, F.col("entries") / block_entries)).cast("int")
@@ -178,15 +187,16 @@ def block_pairs(clustered: DataFrame, sets: DataFrame, percent: int, block_rows:
         each(F.col("k"), lambda j: (band, F.least(b, j), band, F.greatest(b, j), (b > j).cast("int"))),
         each(F.col("k_more"), lambda j: (band, b, band + 1, j, F.lit(0))),
         each(F.col("k_less"), lambda j: (band - 1, j, band, b, F.lit(1)))))
-    names = ["key", "low", "n", "copies", "root", "band", "block", "pairs"]
+    names = ["key", "low", "n", "copies", "root", "band", "block", "pairs", "whole"]
     return materialize(one.select(*names).union(cut.select(*names)), "pairs")
 
 
-def overlaps(col: np.ndarray, row: np.ndarray, side: np.ndarray, n: np.ndarray, percent: int) -> tuple:
+def overlaps(col: np.ndarray, row: np.ndarray, side: np.ndarray, n: np.ndarray, percent: int, bound: bool = False) -> tuple:
     """Linked pairs of a block pair as a boolean matrix, and its row and column members.
 
     ``col``, ``row``: the entries (column hash, row number); ``side`` of each row: all 0 for a block with
-    itself. Counts accumulate by column blocks; pairs that cannot reach their bound are dropped.
+    itself. Counts accumulate by column blocks; pairs that cannot reach their bound are dropped. With ``bound``
+    the entries are bound columns, and pairs that may be linked are found.
     """
     a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     b = b if len(b) else a
@@ -199,10 +209,16 @@ def overlaps(col: np.ndarray, row: np.ndarray, side: np.ndarray, n: np.ndarray,
     starts, counts = starts[counts > 1], counts[counts > 1]
     met = np.repeat(starts - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
     left = np.bincount(row[met.astype(np.int64)], minlength=len(n))  # columns still to come, by row
-    need = (-(-percent * (n[a][:, None] + n[b][None, :]) // (100 + percent))).astype(np.int32)
+    if bound:
+        low, high = np.minimum(n[a][:, None], n[b][None, :]), np.maximum(n[a][:, None], n[b][None, :])
+        need = np.minimum(overlap_floor(high, percent), slack(low)).astype(np.int32)
+    else:
+        need = (-(-percent * (n[a][:, None] + n[b][None, :]) // (100 + percent))).astype(np.int32)
     left = left.astype(np.int32)
     acc = np.zeros((len(a), len(b)), np.int32)
     alive = np.minimum(left[a][:, None], left[b][None, :]) >= need
+    if bound:
+        alive &= 100 * low >= percent * high
     if a is b:
         np.fill_diagonal(alive, False)
 
@@ -256,13 +272,13 @@ def forest(linked: np.ndarray, a: np.ndarray, b: np.ndarray, size: int) -> np.nd
 
 
 def link_block(keys: np.ndarray, n: np.ndarray, copies: np.ndarray, side: np.ndarray, columns: list,
-               percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+               percent: int, bound: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``key, root key, links`` for the rows of one block pair that have links in it."""
     keys, first = np.unique(keys, return_index=True)  # repeated rows
     n, copies, side = n[first], copies[first], side[first]
     sets = [np.frombuffer(columns[i], "<u8") for i in first]
     row = np.repeat(np.arange(len(keys)), [len(s) for s in sets])
-    linked, a, b = overlaps(np.concatenate(sets), row, side, n, percent)
+    linked, a, b = overlaps(np.concatenate(sets), row, side, n, percent, bound)
     root = forest(linked, a, b, len(keys))
     links = np.zeros(len(keys), np.int64)
     links[a] = linked @ copies[b]
@@ -275,6 +291,14 @@ def link_block(keys: np.ndarray, n: np.ndarray, copies: np.ndarray, side: np.nda
 GROUP = ["root", "band", "i", "band2", "j"]
 
 
+def column_bytes(columns: pa.Array) -> list[bytes]:
+    """The columns of each row, given as bytes or as an array of numbers."""
+    if not pa.types.is_list(columns.type):
+        return columns.to_pylist()
+    ends, data = columns.offsets.to_numpy(), columns.values.to_numpy()
+    return [data[lo:hi].tobytes() for lo, hi in zip(ends, ends[1:])]
+
+
 def packed(sent: DataFrame) -> DataFrame:
     """One compressed record for the rows of a block that meet in a batch, for every pair of the block. Near
     copies share most columns, so a record is a small part of its rows."""
@@ -286,7 +310,7 @@ def packed(sent: DataFrame) -> DataFrame:
             place = np.stack([t.column(c).to_numpy() for c in ("root", "band", "block")])
             cuts = [0, *(np.flatnonzero((place[:, 1:] != place[:, :-1]).any(axis=0)) + 1).tolist(), t.num_rows]
             num = [t.column(c).to_numpy().astype("<i8") for c in ("key", "n", "copies")]
-            columns, out = t.column("columns").to_pylist(), []
+            columns, out = column_bytes(t.column("columns").combine_chunks()), []
             for lo, hi in zip(cuts, cuts[1:]):
                 if hi == lo:
                     continue
@@ -301,15 +325,18 @@ def packed(sent: DataFrame) -> DataFrame:
     return sent.select("root", "band", "block", "pairs", "key", "n", "copies", "columns").mapInArrow(run, schema)
 
 
-def unpacked(size: int, record: bytes) -> tuple[list[np.ndarray], list[bytes]]:
+def unpacked(size: int, record: bytes, percent: int | None = None) -> tuple[list[np.ndarray], list[bytes]]:
+    """The rows of a record; with ``percent`` they hold their bound columns."""
     raw = pa.decompress(record[8:], int(np.frombuffer(record[:8], "<i8")[0]), codec="zstd", asbytes=True)
     num = np.frombuffer(raw[:24 * size], "<i8").reshape(3, size)
-    ends = 24 * size + 8 * np.cumsum(num[1])
-    return list(num), [raw[e - 8 * n:e] for e, n in zip(ends.tolist(), num[1].tolist())]
+    held = num[1] if percent is None else bound_size(num[1], percent)
+    ends = 24 * size + 8 * np.cumsum(held)
+    return list(num), [raw[e - 8 * n:e] for e, n in zip(ends.tolist(), held.tolist())]
 
 
-def product(sent: DataFrame, percent: int) -> DataFrame:
-    """``key, star, links`` by block pair; the records of a pair follow each other in their partition."""
+def product(sent: DataFrame, percent: int, bound: bool = False) -> DataFrame:
+    """``key, star, links`` by block pair; the records of a pair follow each other in their partition. With ``bound``
+    the columns are bound columns and the links are those that may be."""
     parts = int(sent.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = packed(sent).repartition(parts, *GROUP).sortWithinPartitions(*GROUP)
 
@@ -319,12 +346,12 @@ def product(sent: DataFrame, percent: int) -> DataFrame:
             return None  # one of the two blocks got no row
         key, n, copies, side, columns = [], [], [], [], []
         for s, size, record in records:
-            num, cols = unpacked(size, record)
+            num, cols = unpacked(size, record, percent if bound else None)
             key.append(num[0]), n.append(num[1]), copies.append(num[2]), side.append(np.full(size, s))
             columns += cols
         if len(columns) < 2:
             return None
-        out = link_block(*(np.concatenate(x) for x in (key, n, copies, side)), columns, percent)
+        out = link_block(*(np.concatenate(x) for x in (key, n, copies, side)), columns, percent, bound)
         return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["key", "star", "links"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,6 +369,24 @@ def product(sent: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "key long, star long, links long")
 
 
+def to_join(pairs: DataFrame) -> DataFrame:
+    """``pairs`` broadcast if few, else shuffled: its files are much smaller than its rows."""
+    size = pairs.agg(F.count("*").alias("rows"), F.sum(F.size("pairs")).alias("pairs")).first()
+    return F.broadcast(pairs) if size.rows <= BROADCAST_ROWS and (size.pairs or 0) <= 2 * BROADCAST_ROWS else pairs.hint("merge")
+
+
+def refined(keyed: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int, block_rows: int, block_entries: int) -> DataFrame:
+    """``pairs`` with the clusters of several blocks cut into those that links of their bound columns join."""
+    large = pairs.where("not whole")
+    if large.isEmpty():
+        return pairs
+    bound = keyed.where(F.col("bound").isNotNull()).select("key", F.col("bound").alias("columns"))
+    stars = materialize(product(bound.join(to_join(large), "key"), percent, bound=True), "near")
+    roots = components(stars.where("key != star").select(F.col("key").alias("u"), F.col("star").alias("v")).distinct())
+    again = block_pairs(roots.select(F.col("node").alias("key"), "root"), sets, percent, block_rows, block_entries)
+    return pairs.where("whole").union(again)
+
+
 def with_columns(docs: DataFrame, pairs: DataFrame, width: int, seed: int, percent: int) -> DataFrame:
     """The rows of ``pairs`` with their columns. Texts are hashed again where they lie; a bit table
     of fixed size keeps rows without a cluster out of the shuffle."""
@@ -361,9 +406,7 @@ def with_columns(docs: DataFrame, pairs: DataFrame, width: int, seed: int, perce
         F.pmod("h", F.lit(FILTER_WORDS)).alias("w"), bit.alias("bit")).groupBy("w").agg(F.bit_or("bit").alias("bits"))
     likely = sets.where("key IS NOT NULL").withColumn("w", word).withColumn("h", h).withColumn("bit", bit).join(
         F.broadcast(bits), "w").where(F.col("bits").bitwiseAND(F.col("bit")) != 0).select("doc_id", "key", "columns")
-    place = pairs.withColumnRenamed("key", "row")
-    if pairs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:  # else both sides are shuffled
-        place = F.broadcast(place)
+    place = to_join(pairs.withColumnRenamed("key", "row"))
     return likely.join(place, (F.col("key") == F.col("row")) & F.col("doc_id").eqNullSafe(F.col("low")))
 
 
@@ -374,6 +417,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     docs = pick(df, {"doc_id": id_col, "text": text_col})
     keyed, sets, seed = distinct_rows(docs, shingle_words, percent)
     pairs = block_pairs(clusters(keyed, sets, percent), sets, percent, block_rows, block_entries)
+    pairs = refined(keyed, pairs, sets, percent, block_rows, block_entries)
     stars = materialize(product(with_columns(docs, pairs, shingle_words, seed, percent), percent), "stars")
     roots = components(stars.where("key != star").select(F.col("key").alias("u"), F.col("star").alias("v")).distinct())
     links = stars.groupBy(F.col("key").alias("row")).agg(F.sum("links").alias("links"))

@@ -30,6 +30,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from voltlens.llm.common import annotate, materialize, pick, position
+from voltlens.session import remove_scratch, scratch_path
 
 BYTE_ONES = np.uint64(0x0101010101010101)
 
@@ -124,10 +125,11 @@ def links(distinct: DataFrame, max_bits: int = 3, segments: int = 2) -> DataFram
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``(node, root)`` for every node of an edge, root = smallest node reachable.
 
-    Alternating large-star and small-star steps; every round is a written table, the
-    driver sees one row of sums per round.
+    Alternating large-star and small-star steps; every round is a written table that replaces
+    the one before, the driver sees one row of sums per round.
     """
-    e = materialize(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "edges")
+    spark, path = edges.sparkSession, scratch_path(edges.sparkSession, "edges")
+    e = materialize(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "edges", path)
     before = None
     for _ in range(max_rounds):
         both = e.union(e.select(F.col("v"), F.col("u")))
@@ -137,7 +139,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             low.select("u", F.col("m").alias("v")))
-        e = materialize(small.where("u != v").distinct(), "edges")
+        last, path = path, scratch_path(spark, "edges")
+        e = materialize(small.where("u != v").distinct(), "edges", path)
+        remove_scratch(spark, last)
         now = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         if before == (now.n, now.s):
             roots = e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
